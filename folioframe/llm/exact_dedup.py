@@ -18,6 +18,7 @@ from .common import rows_of, spool
 
 MAX_CELLS = 1 << 28  # 32 MiB of bits
 CELLS_PER_ROW = 16
+BROADCAST_GROUPS = 100_000  # about 100 bytes each
 
 
 def _cells(n_cells: int) -> list:
@@ -57,6 +58,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     once = flagged.filter(~F.col("maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     again = flagged.filter("maybe").select("doc_id", "text_sha256")
-    groups = again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    rest = again.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    groups = spool(again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"), "groups")
+    if groups.count() <= BROADCAST_GROUPS:  # else a join whose hot keys Spark can split
+        groups = F.broadcast(groups)
+    found = F.col("group_size").isNotNull()
+    rest = again.join(groups, "text_sha256", "left").select(
+        "doc_id", F.when(found, F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        (~found | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "text_sha256",
+    )
     return once.unionByName(rest)
