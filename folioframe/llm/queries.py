@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, packing, sstable, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, langid, minhash, packing, sstable, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,3 +102,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its leaks: doc_id, n_items, item_ids (ascending), best similarity; documents without any have none."""
+    docs = table(spark, sf_dir, "documents")
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    found = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("similarity").alias("similarity"))
+    joined = docs.select("doc_id").join(found, "doc_id", "left")
+    return joined.select("doc_id", F.coalesce(F.size("item_ids"), F.lit(0)).alias("n_items"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"), F.col("item_ids").isNotNull().alias("leaked"))
