@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, langid, minhash, packing, sstable, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, langid, line_dedup, minhash, packing, sstable, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,3 +112,27 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("similarity").alias("similarity"))
     joined = docs.select("doc_id").join(found, "doc_id", "left")
     return joined.select("doc_id", F.coalesce(F.size("item_ids"), F.lit(0)).alias("n_items"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"), F.col("item_ids").isNotNull().alias("leaked"))
+
+
+@query(
+    "op2_line_dedup",
+    r"""
+    with l as (
+      select doc_id, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents
+    ), t as (select doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13)) as line from l),
+    e as (select *, length(line) >= 12 and row_number() over (partition by line order by doc_id, pos) > 1 as equal from t),
+    u as (select doc_id, pos, line, length(line) as size from e where not equal and length(line) >= 24),
+    n as (select distinct b.doc_id, b.pos from u a join u b
+          on b.size between a.size - 1 and a.size + 1 and (a.doc_id, a.pos) < (b.doc_id, b.pos)
+             and (a.line[:a.size // 2] = b.line[:a.size // 2] or a.line[-(a.size - a.size // 2 - 1):] = b.line[-(a.size - a.size // 2 - 1):])
+          where levenshtein(a.line, b.line) <= 1),
+    f as (select e.*, n.pos is not null as near from e left join n on e.doc_id = n.doc_id and e.pos = n.pos),
+    g as (select doc_id, count(*) as n_lines, count_if(equal) as n_equal, count_if(near) as n_near,
+                 coalesce(string_agg(raw, chr(10) order by pos) filter (not equal and not near), '') as text from f group by doc_id)
+    select d.doc_id, cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(n_equal, 0) as bigint) as n_equal,
+           cast(coalesce(n_near, 0) as bigint) as n_near, case when d.text is not null then g.text end as text
+    from documents d left join g on d.doc_id = g.doc_id
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_equal", "n_near", "text")
