@@ -192,3 +192,15 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     found = prepared.drop("bands").join(classes, ["k1", "k2", "n"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def clean(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each group, that of the smallest doc_id; all columns stay. Of rows that repeat a doc_id one stays."""
+    found = spool(near_components(docs, width, percent, id_col, text_col).select("doc_id", "kept"), "components")
+    gone = found.filter("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    twice = spool(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count().filter("count > 1").select(id_col), "repeated")
+    left = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, id_col, "left_anti").select(*docs.columns)
+    if not twice.limit(1).count():
+        return left
+    again = left.join(twice, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
+    return left.join(twice, id_col, "left_anti").select(*docs.columns).unionByName(again)

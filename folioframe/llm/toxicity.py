@@ -74,28 +74,32 @@ class KneserNey:
         return np.bincount(word[coded], np.log(p[:, 1]) - np.log(p[:, 0]), len(words))
 
 
-def _features(model: KneserNey, batches):
-    """(ids, n x 3 features) of Arrow batches (id, text)."""
-    import gc
+class Scorer:
+    """Features of texts, each word judged once."""
 
-    gc.disable()
-    place: dict[bytes, int] = {}
-    table = np.zeros((1 << 12, 2))
-    for keys, texts in by_chars(batches, 5_000_000):
+    def __init__(self, model: KneserNey):
+        import gc
+
+        gc.disable()  # the cache holds no cycles
+        self.model, self.place, self.table = model, {}, np.zeros((1 << 12, 2))
+
+    def features(self, texts: list[str]) -> np.ndarray:
+        """n x 3: of the whole text, the worst window and the worst word; zeros without words."""
+        place = self.place
         found, bounds = word_runs([t.lower() for t in texts])
         vocabulary, index = found.dictionary.to_pylist(), found.indices.to_numpy()
         if len(place) > WORDS_KEPT:
             place.clear()
         new = [w for w in vocabulary if w not in place]
-        while len(place) + len(new) > len(table):
-            table = np.concatenate((table, np.zeros_like(table)))
+        while len(place) + len(new) > len(self.table):
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
         for i in range(0, len(new), 20000):
             some = new[i : i + 20000]
             at = slice(len(place) + i, len(place) + i + len(some))
-            table[at, 0] = model.ratio(some)
-            table[at, 1] = np.fromiter(map(len, some), np.float64, len(some)) + 1
+            self.table[at, 0] = self.model.ratio(some)
+            self.table[at, 1] = np.fromiter(map(len, some), np.float64, len(some)) + 1
         place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-        own = table[np.fromiter(map(place.__getitem__, vocabulary), np.int64, len(vocabulary))[index]]
+        own = self.table[np.fromiter(map(place.__getitem__, vocabulary), np.int64, len(vocabulary))[index]]
         out = np.zeros((len(texts), 3))
         some = np.flatnonzero(np.diff(bounds))
         if len(some):
@@ -108,7 +112,14 @@ def _features(model: KneserNey, batches):
             inner = sums[np.minimum(begin + WINDOW, last[text])] - sums[begin]
             out[some, 1] = np.maximum.reduceat(inner[:, 0] / inner[:, 1], first)
             out[some, 2] = np.maximum.reduceat(own[:, 0] / own[:, 1], first)
-        yield keys, out
+        return out
+
+
+def _features(model: KneserNey, batches):
+    """(ids, n x 3 features) of Arrow batches (id, text)."""
+    scorer = Scorer(model)
+    for keys, texts in by_chars(batches, 5_000_000):
+        yield keys, scorer.features(texts)
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,6 +194,24 @@ def score(docs: DataFrame, judge: Judge | None, id_col: str = "doc_id", text_col
     return rows.mapInArrow(judged, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
+def clean(docs: DataFrame, judge: Judge | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """docs without the rows that score threshold or more; all columns stay. Each row is judged by its own text, so ids may repeat or be null."""
+    if judge is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(judge)
+    at = docs.columns.index(text_col)
+
+    def keep(batches):
+        import pyarrow as pa
+
+        scorer = Scorer(shared.value.model)
+        for b in batches:
+            if b.num_rows:
+                yield b.filter(pa.array(shared.value.score(scorer.features([t or "" for t in b.column(at).to_pylist()])) < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(text, toxic) of the labelled rows outside the held-out fold. Of an id that is labelled more than once, the largest label counts."""
     own = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
