@@ -1 +1,6 @@
-"""plans of folioframe."""
+"""Named queries over the plain tables, and their SQL."""
+
+from . import semantic  # noqa: F401
+from .registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
