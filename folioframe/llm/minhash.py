@@ -9,8 +9,8 @@ Banding gives candidates; all links are confirmed on full shingle sets:
 
 1. equal sets are one node, its number the smallest doc_id;
 2. in each bucket, the member that shares most buckets is the pivot and is compared with all others;
-3. components of the confirmed links; members of a bucket that are in different components after that are compared with
-   each other, unless their distances to the pivot differ by more than a link allows (Jaccard distance is a metric).
+3. components of the confirmed links; those that met one pivot but are in different components are compared with each
+   other, unless what they lack of the pivot and have besides it shows that they can't be linked (see `_reach`).
 
 So a group of many near copies costs about as many comparisons as it has members, and no candidate is dropped.
 """
@@ -26,6 +26,7 @@ from .common import connected_components, rows_of, spool
 ROWS, BANDS = 6, 40  # a pair at 0.85 shares no band with probability 6e-9, at 0.8 with 6e-6
 WORDS_KEPT = 400_000  # word hashes that a worker keeps
 BROADCAST_IDS = 400_000  # 8 bytes each; with more ids the texts shuffle
+LACKS, HAS = 8, 4  # 64-bit words of the bitmaps of what a set lacks of its pivot's and has besides it
 
 _U = np.uint64
 
@@ -115,7 +116,7 @@ def _prepared(rows: DataFrame, width: int) -> DataFrame:
 
 
 def verify(pairs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """pairs (a, b) of doc_ids -> (a, b, common, total): sizes of intersection and union of their full sets. b may be a hub."""
+    """pairs (a, b) of doc_ids -> (a, b, common, total, lacks, has): sizes of intersection and union of their full sets; bitmaps of what a lacks of b and has besides it. b may be a hub."""
     ids = spool(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
     own = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = spool(rows.join(own, "doc_id", "left_semi"), "texts")
@@ -127,7 +128,7 @@ def verify(pairs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
 
         kept: dict[str, np.ndarray] = {}
         for batch in batches:
-            common, total = [], []
+            common, total, lacks, has = [], [], [], []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if len(kept) > 64:
                     kept.clear()
@@ -138,10 +139,33 @@ def verify(pairs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
                 c = len(np.intersect1d(hx, hy, assume_unique=True))
                 common.append(c)
                 total.append(len(hx) + len(hy) - c)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "common", "total"])
+                lacks.append(_bitmap(np.setdiff1d(hy, hx, assume_unique=True), LACKS))
+                has.append(_bitmap(np.setdiff1d(hx, hy, assume_unique=True), HAS))
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64()), pa.array(lacks, kind), pa.array(has, kind)], ["a", "b", "common", "total", "lacks", "has"])
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.mapInArrow(compare, f"a {kind}, b {kind}, common long, total long")
+    return both.mapInArrow(compare, f"a {kind}, b {kind}, common long, total long, lacks array<long>, has array<long>")
+
+
+def _bitmap(h: np.ndarray, words: int) -> np.ndarray:
+    out = np.zeros(words, _U)
+    bit = _mix(h ^ _U(0xA0761D6478BD642F)) % _U(64 * words)
+    np.bitwise_or.at(out, (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
+    return out.view(np.int64)
+
+
+def _reach():
+    """The most that the sets of x and y can have in common, by their pivot p: |p| less what either lacks of it, and of what
+    they have besides p no more than one's less those that the other surely hasn't. A bitmap never shows more elements than
+    there are, so no link is lost; null where a set wasn't compared with the pivot."""
+    bits = lambda f, words: sum((F.bit_count(f(k)).cast("long") for k in range(words)), F.lit(0).cast("long"))
+    x, y = (lambda name, k: F.col(f"{name}_a")[k]), (lambda name, k: F.col(f"{name}_b")[k])
+    lacked = bits(lambda k: x("lacks", k).bitwiseOR(y("lacks", k)), LACKS)
+    only_x = bits(lambda k: x("has", k).bitwiseAND(F.bitwise_not(y("has", k))), HAS)
+    only_y = bits(lambda k: y("has", k).bitwiseAND(F.bitwise_not(x("has", k))), HAS)
+    beside = lambda s: F.col(f"n_{s}") - F.col(f"common_{s}")
+    return F.col("pivot_n_a") - lacked + F.least(beside("a") - only_x, beside("b") - only_y)
 
 
 def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,17 +194,16 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     links = first.filter(f"100 * common >= {percent} * total").select("a", "b")
     labels = connected_components(links)
 
-    # what is left: members of one bucket in different components
-    own = shared.join(first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "common", "total"), ["node", "pivot"], "left")
-    own = own.join(labels, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("component", "node").alias("component"),
-        F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(1 - F.col("common") / F.col("total")).alias("distance"), (F.col("node") == F.col("pivot")).alias("is_pivot"),
-    )
-    mixed = own.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("bucket")
-    open_ = spool(own.join(mixed, "bucket").filter("not is_pivot").drop("is_pivot"), "open")
-    x, y = (open_.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component", "distance"))) for s in "ab")
-    apart = F.coalesce(F.abs(F.col("distance_a") - F.col("distance_b")), F.lit(0.0)) > (100 - percent) / 100 + 1e-9
-    pairs = x.join(y, "bucket").filter("node_a < node_b and component_a <> component_b").filter(near(F.col("n_a"), F.col("n_b"))).filter(~apart)
+    # what is left: of those that met one pivot, pairs in different components; two that share a bucket share its pivot
+    met = shared.filter("node <> pivot").select("pivot", "node", "n", "pivot_n").distinct()
+    own = met.join(first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "common", "lacks", "has"), ["node", "pivot"], "left")
+    own = own.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = own.groupBy("pivot").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("pivot")
+    open_ = spool(own.join(mixed, "pivot"), "open")
+    x, y = (open_.select("pivot", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pivot_n", "component", "common", "lacks", "has"))) for s in "ab")
+    reach = _reach()
+    can = F.coalesce(100 * reach >= percent * (F.col("n_a") + F.col("n_b") - reach), F.lit(True))
+    pairs = x.join(y, "pivot").filter("node_a < node_b and component_a <> component_b").filter(near(F.col("n_a"), F.col("n_b"))).filter(can)
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = spool(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
