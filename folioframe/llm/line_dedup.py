@@ -78,7 +78,7 @@ def _hashes(line: Column, length: Column, edits: int, probe: bool, near_chars: i
             for o in places:
                 fits = (start + o >= 0) & (start + o + size <= length) & (length - shift >= near_chars)
                 out.append(F.when(fits, F.xxhash64(F.lit(i), length - shift, F.substring(line, start + o + 1, size))))
-    return F.filter(F.array(*out), lambda h: h.isNotNull())
+    return F.array(*out)
 
 
 def _letters(line: Column) -> Column:
@@ -115,17 +115,18 @@ def near_lines(lines: DataFrame, docs: DataFrame, edits: int = MAX_EDITS, near_c
     """lines (doc_id, pos, line), all different and trimmed -> pairs (doc_a, pos_a, doc_b, pos_b, distance), a before b. docs (doc_id, text) has the lines' texts by number."""
     long = lines.withColumn("size", F.length("line")).filter(F.col("size") >= near_chars)
     line, size = F.col("line"), F.col("size")
-    keyed = long.select("doc_id", "pos", _letters(line).alias("letters"), _hashes(line, size, edits, False, near_chars).alias("own"), _hashes(line, size, edits, True, near_chars).alias("places"))
-    index = keyed.select(F.explode("own").alias("h"), F.col("doc_id").alias("doc_x"), F.col("pos").alias("pos_x"), F.col("letters").alias("letters_x"))
-    probes = keyed.select(F.explode("places").alias("h"), F.col("doc_id").alias("doc_y"), F.col("pos").alias("pos_y"), F.col("letters").alias("letters_y"))
+    keyed = lambda probe: F.explode(_hashes(line, size, edits, probe, near_chars)).alias("h")
+    index = long.select(keyed(False), F.col("doc_id").alias("doc_x"), F.col("pos").alias("pos_x")).filter("h is not null")
+    probes = long.select(keyed(True), F.col("doc_id").alias("doc_y"), F.col("pos").alias("pos_y")).filter("h is not null")
     x, y = F.struct(F.col("doc_x").alias("doc"), F.col("pos_x").alias("pos")), F.struct(F.col("doc_y").alias("doc"), F.col("pos_y").alias("pos"))
-    met = index.join(probes, (index.h == probes.h) & (x != y) & (_letters_apart(F.col("letters_x"), F.col("letters_y")) <= 2 * edits))
+    met = index.join(probes, (index.h == probes.h) & (x != y))
     met = spool(met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct().select(F.col("a.doc").alias("doc_a"), F.col("a.pos").alias("pos_a"), F.col("b.doc").alias("doc_b"), F.col("b.pos").alias("pos_b")), "met")
     wanted = spool(met.select(F.col("doc_a").alias("doc_id"), F.col("pos_a").alias("pos")).union(met.select("doc_b", "pos_b")).distinct(), "wanted")
     texts = docs.join(_small(wanted), "doc_id").select("doc_id", "pos", _trimmed(F.get(F.split("text", "\n"), F.col("pos"))).alias("line"))
     texts = spool(texts, "lines")
     side = lambda s: texts.select(F.col("doc_id").alias(f"doc_{s}"), F.col("pos").alias(f"pos_{s}"), F.col("line").alias(f"line_{s}"))
     both = met.join(side("a"), ["doc_a", "pos_a"]).join(side("b"), ["doc_b", "pos_b"])
+    both = both.filter(_letters_apart(_letters(F.col("line_a")), _letters(F.col("line_b"))) <= 2 * edits)
     both = both.withColumn("distance", within_edits(F.col("line_a"), F.col("line_b"), edits)).filter("distance is not null")
     return both.select("doc_a", "pos_a", "doc_b", "pos_b", "distance")
 
