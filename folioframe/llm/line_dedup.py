@@ -30,9 +30,13 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     character moves all of them at once; sets of fewer edits feed those of more by substitution (same diagonal),
     insertion (one down) and deletion (one up).
     """
+    # a lambda's argument is computed once, whatever stands in the lambda is computed for each character
+    return F.transform(F.array(F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"), F.length(a).alias("n"), F.length(b).alias("m"))), lambda s: _within(s, edits))[0]
+
+
+def _within(s: Column, edits: int) -> Column:
     width, full = 2 * edits + 1, (1 << (2 * edits + 1)) - 1
-    x, y = F.split(a, ""), F.split(b, "")
-    n, m = F.length(a), F.length(b)
+    x, y, n, m = s["x"], s["y"], s["n"], s["m"]
 
     def part(state: Column, e: int) -> Column:
         return F.shiftright(state, e * width).bitwiseAND(F.lit(full).cast("long"))
