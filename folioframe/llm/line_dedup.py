@@ -131,6 +131,8 @@ def near_lines(lines: DataFrame, docs: DataFrame, edits: int = MAX_EDITS, near_c
     side = lambda s: texts.select(F.col("doc_id").alias(f"doc_{s}"), F.col("pos").alias(f"pos_{s}"), F.col("line").alias(f"line_{s}"))
     both = met.join(side("a"), ["doc_a", "pos_a"]).join(side("b"), ["doc_b", "pos_b"])
     both = both.filter(_letters_apart(_letters(F.col("line_a")), _letters(F.col("line_b"))) <= 2 * edits)
+    # few bytes but long work: not to be gathered in a few partitions
+    both = both.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     both = both.withColumn("distance", within_edits(F.col("line_a"), F.col("line_b"), edits)).filter("distance is not null")
     return both.select("doc_a", "pos_a", "doc_b", "pos_b", "distance")
 
