@@ -28,7 +28,8 @@ from .minhash import _mix, _words
 _U = np.uint64
 WIDTH, PERCENT = 5, 80
 BLOCKS, RADIUS = 4, 19
-BENCHMARK_BYTES = 8 << 20
+BENCHMARK_BYTES = 2 << 20
+EXPANDED = 400  # items up to which all block values near theirs are tabled (160 KB an item); with more, near values of the windows are looked up
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -63,31 +64,36 @@ def simhash(h: np.ndarray) -> int:
 class Index:
     """The items of one number of words."""
 
-    def __init__(self, items: list[tuple[int, Counter, int]], radius: int, blocks: int):
+    def __init__(self, items: list[tuple[int, Counter, int]], radius: int, blocks: int, expand: bool = True):
         self.items, self.radius, self.blocks, self.width = items, radius, blocks, 64 // blocks
         self.prints = np.array([p for _, _, p in items], _U)
         near = [0]
         for k in range(1, radius // blocks + 1):
             near += [sum(1 << b for b in c) for c in combinations(range(self.width), k)]
-        near = np.array(near, np.int64)
+        self.near = np.array(near, np.int64)
+        own_side, self.window_side = (self.near, np.zeros(1, np.int64)) if expand else (np.zeros(1, np.int64), self.near)
         self.tables = []
         for b in range(blocks):
             own = ((self.prints >> _U(b * self.width)) & _U((1 << self.width) - 1)).astype(np.int64)
-            values = (own[:, None] ^ near[None, :]).ravel()
+            values = (own[:, None] ^ own_side[None, :]).ravel()
             order = np.argsort(values, kind="stable")
-            self.tables.append((values[order], np.repeat(np.arange(len(items)), len(near))[order]))
+            self.tables.append((values[order], np.repeat(np.arange(len(items)), len(own_side))[order]))
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in prints, item) of all within the radius."""
-        found = []
-        for b, (values, items) in enumerate(self.tables):
-            own = ((prints >> _U(b * self.width)) & _U((1 << self.width) - 1)).astype(np.int64)
-            lo, hi = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
-            n = hi - lo
-            at = np.repeat(np.arange(len(prints)), n)
-            item = items[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-            close = np.bitwise_count(prints[at] ^ self.prints[item]) <= self.radius
-            found.append(at[close] * len(self.items) + item[close])
+        found = [np.zeros(0, np.int64)]
+        step = max(1, (1 << 20) // len(self.window_side))
+        for i in range(0, len(prints), step):
+            some = prints[i : i + step]
+            for b, (values, items) in enumerate(self.tables):
+                own = ((some >> _U(b * self.width)) & _U((1 << self.width) - 1)).astype(np.int64)
+                own = (own[:, None] ^ self.window_side[None, :]).ravel()
+                lo, hi = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                n = hi - lo
+                at = np.repeat(np.arange(len(own)) // len(self.window_side), n)
+                item = items[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                close = np.bitwise_count(some[at] ^ self.prints[item]) <= self.radius
+                found.append((i + at[close]) * len(self.items) + item[close])
         pairs = np.unique(np.concatenate(found))
         return pairs // len(self.items), pairs % len(self.items)
 
@@ -104,7 +110,7 @@ class Benchmark:
                 own.setdefault(len(w), []).append((item, Counter(h.tolist()), simhash(h)))
                 for x in h.tolist():
                     owners.setdefault(x, set()).add(len(w))
-        self.by_words = {n: Index(items, radius, blocks) for n, items in own.items()}
+        self.by_words = {n: Index(items, radius, blocks, len(rows) <= EXPANDED) for n, items in own.items()}
         self.known = np.array(sorted(owners), _U)  # all shingles of the items
         self.sizes = [sorted(owners[x]) for x in self.known.tolist()]
         self.low = np.zeros(1 << 20, bool)  # a first look, by the low bits

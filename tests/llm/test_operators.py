@@ -266,10 +266,11 @@ def test_decontamination(spark, odd):
     assert left.columns == odd.columns and sorted(repr(r.doc_id) for r in left.collect()) == sorted(repr(k) for k, *_ in ODD if k not in (1, 2))
 
 
-def test_hamming_blocks_find_all():
+@pytest.mark.parametrize("expand", [True, False])
+def test_hamming_blocks_find_all(expand):
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 2**63, 40, dtype=np.uint64)
-    index = decontaminate.Index([(k, Counter(), int(p)) for k, p in enumerate(prints)], 19, 4)
+    index = decontaminate.Index([(k, Counter(), int(p)) for k, p in enumerate(prints)], 19, 4, expand)
     probe = prints.repeat(20).copy()
     for k in range(len(probe)):
         for b in rng.choice(64, rng.integers(0, 24), replace=False):
