@@ -26,7 +26,7 @@ from .common import connected_components, rows_of, spool
 ROWS, BANDS = 6, 40  # a pair at 0.85 shares no band with probability 6e-9, at 0.8 with 6e-6
 WORDS_KEPT = 400_000  # word hashes that a worker keeps
 BROADCAST_IDS = 400_000  # 8 bytes each; with more ids the texts shuffle
-LACKS, HAS = 8, 4  # 64-bit words of the bitmaps of what a set lacks of its pivot's and has besides it
+LACKS, HAS = 4, 3  # 64-bit words of the bitmaps of what a set lacks of its pivot's and has besides it
 
 _U = np.uint64
 
@@ -155,17 +155,23 @@ def _bitmap(h: np.ndarray, words: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _sides(s: str) -> list:
+    """Columns of one side of a pair, as plain longs: a join's condition over arrays is too long a method to be compiled."""
+    word = lambda name, k, other: F.coalesce(F.get(name, F.lit(k)), F.lit(other).cast("long"))
+    return [
+        *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pivot_n", "component")), F.coalesce(F.col("n") - F.col("common"), "n").alias(f"beside_{s}"),
+        *(word("lacks", k, 0).alias(f"lacks{k}_{s}") for k in range(LACKS)), *(word("has", k, 0).alias(f"has{k}_{s}") for k in range(HAS)), *(word("has", k, -1).alias(f"may{k}_{s}") for k in range(HAS)),
+    ]
+
+
 def _reach():
     """The most that the sets of x and y can have in common, by their pivot p: |p| less what either lacks of it, and of what
     they have besides p no more than one's less those that the other surely hasn't. A bitmap never shows more elements than
-    there are, so no link is lost; null where a set wasn't compared with the pivot."""
+    there are, and a set that wasn't compared with the pivot may lack nothing and have anything, so no link is lost."""
     bits = lambda f, words: sum((F.bit_count(f(k)).cast("long") for k in range(words)), F.lit(0).cast("long"))
-    x, y = (lambda name, k: F.col(f"{name}_a")[k]), (lambda name, k: F.col(f"{name}_b")[k])
-    lacked = bits(lambda k: x("lacks", k).bitwiseOR(y("lacks", k)), LACKS)
-    only_x = bits(lambda k: x("has", k).bitwiseAND(F.bitwise_not(y("has", k))), HAS)
-    only_y = bits(lambda k: y("has", k).bitwiseAND(F.bitwise_not(x("has", k))), HAS)
-    beside = lambda s: F.col(f"n_{s}") - F.col(f"common_{s}")
-    return F.col("pivot_n_a") - lacked + F.least(beside("a") - only_x, beside("b") - only_y)
+    lacked = bits(lambda k: F.col(f"lacks{k}_a").bitwiseOR(F.col(f"lacks{k}_b")), LACKS)
+    only = lambda x, y: bits(lambda k: F.col(f"has{k}_{x}").bitwiseAND(F.bitwise_not(f"may{k}_{y}")), HAS)
+    return F.col("pivot_n_a") - lacked + F.least(F.col("beside_a") - only("a", "b"), F.col("beside_b") - only("b", "a"))
 
 
 def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,9 +206,8 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     own = own.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = own.groupBy("pivot").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("pivot")
     open_ = spool(own.join(mixed, "pivot"), "open")
-    x, y = (open_.select("pivot", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pivot_n", "component", "common", "lacks", "has"))) for s in "ab")
-    reach = _reach()
-    can = F.coalesce(100 * reach >= percent * (F.col("n_a") + F.col("n_b") - reach), F.lit(True))
+    x, y = (open_.select("pivot", *_sides(s)) for s in "ab")
+    can = (100 + percent) * _reach() >= percent * (F.col("n_a") + F.col("n_b"))
     pairs = x.join(y, "pivot").filter("node_a < node_b and component_a <> component_b").filter(near(F.col("n_a"), F.col("n_b"))).filter(can)
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
