@@ -119,11 +119,14 @@ def near_lines(lines: DataFrame, docs: DataFrame, edits: int = MAX_EDITS, near_c
     """lines (doc_id, pos, line), all different and trimmed -> pairs (doc_a, pos_a, doc_b, pos_b, distance), a before b. docs (doc_id, text) has the lines' texts by number."""
     long = lines.withColumn("size", F.length("line")).filter(F.col("size") >= near_chars)
     line, size = F.col("line"), F.col("size")
-    keyed = lambda probe: F.explode(_hashes(line, size, edits, probe, near_chars)).alias("h")
-    index = long.select(keyed(False), F.col("doc_id").alias("doc_x"), F.col("pos").alias("pos_x")).filter("h is not null")
-    probes = long.select(keyed(True), F.col("doc_id").alias("doc_y"), F.col("pos").alias("pos_y")).filter("h is not null")
+    counted = F.length(line) - F.length(F.replace(line, F.lit("e"), F.lit("")))  # an edit changes it by one at most
+    own, places = _hashes(line, size, edits, False, near_chars), _hashes(line, size, edits, True, near_chars)
+    index = long.select(F.explode(own).alias("h"), F.col("doc_id").alias("doc_x"), F.col("pos").alias("pos_x"), size.alias("size_x"), counted.alias("e_x")).filter("h is not null")
+    probes = long.select(F.explode(places).alias("h"), F.col("doc_id").alias("doc_y"), F.col("pos").alias("pos_y"), size.alias("size_y"), counted.alias("e_y")).filter("h is not null")
     x, y = F.struct(F.col("doc_x").alias("doc"), F.col("pos_x").alias("pos")), F.struct(F.col("doc_y").alias("doc"), F.col("pos_y").alias("pos"))
-    met = index.join(probes, (index.h == probes.h) & (x != y))
+    # of two lines of one length either probes the other: once is enough
+    once = (F.col("size_x") < F.col("size_y")) | (F.col("doc_x") < F.col("doc_y")) | ((F.col("doc_x") == F.col("doc_y")) & (F.col("pos_x") < F.col("pos_y")))
+    met = index.join(probes, (index.h == probes.h) & once & (F.abs(F.col("e_x") - F.col("e_y")) <= edits))
     met = spool(met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct().select(F.col("a.doc").alias("doc_a"), F.col("a.pos").alias("pos_a"), F.col("b.doc").alias("doc_b"), F.col("b.pos").alias("pos_b")), "met")
     wanted = spool(met.select(F.col("doc_a").alias("doc_id"), F.col("pos_a").alias("pos")).union(met.select("doc_b", "pos_b")).distinct(), "wanted")
     texts = docs.join(_small(wanted), "doc_id").select("doc_id", "pos", _trimmed(F.get(F.split("text", "\n"), F.col("pos"))).alias("line"))
