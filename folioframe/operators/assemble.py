@@ -40,7 +40,7 @@ def assigned(blocks: DataFrame, compat: bool = False) -> DataFrame:
     """Adds candidate (1-based, of the document; 0: none) and fate.
 
     fate: statement, solution, shared, excluded:<reason>, or diagnostic:<name>. A shared block goes to the next start. One
-    without a next start is excluded as dangling_shared_context; with compat it is lost, as the reference loses it.
+    without a next start is excluded as dangling_shared_context; with compat it is lost.
     """
     start = F.col("role") == "PROBLEM_START"
     number = F.sum(start.cast("int")).over(_by_pos().rowsBetween(W.unboundedPreceding, 0))

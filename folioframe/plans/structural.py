@@ -380,7 +380,7 @@ def q_failures(spark, d):
 
 # ---- pressure
 
-TEXTS = ["", "HTTP 429 returned", "status: 503", "queue is full, code 10010", "daily submit limit reached", "quota exceeded for key", "No module named paddle", "rate limit hit", "all good", "code 12002"]
+TEXTS = ["", "HTTP 429 returned", "status: 503", "queue is full, code 10010", "daily submit limit reached", "quota exceeded for key", "No module named x", "rate limit hit", "all good", "code 12002"]
 STATUS = "case event_type when 'error' then [" + ", ".join(f"'{t}'" for t in TEXTS) + "][cast(event_id % 10 as int) + 1] else 'ok' end"
 VERDICT = f"""with t as (select event_id, lower({STATUS}) as t from events),
   v as (select event_id, case when trim(t) = '' then 'NONE|other|' when contains(t, 'quota exceeded') then 'QUOTA_EXHAUSTED|quota_exhausted|quota exceeded'
