@@ -22,8 +22,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand in an earlier document, or earlier in the same one, go; a document of which nothing is left stays, empty."""
-    return line_dedup.clean(docs)
+    """Lines that stand in an earlier document, or earlier in the same one, go, also those within an edit or a word; a document of which nothing is left stays, empty."""
+    return line_dedup.clean(docs, words=True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,14 +1,18 @@
 """Line deduplication: equal lines by hash, near-equal ones by a segment-partition edit join. DataFrame functions only.
 
 A line (trimmed, at least MIN_CHARS characters) is dropped if an equal line stands earlier, in the order of (doc_id,
-line number), or one within MAX_EDITS edits does (for lines of at least NEAR_CHARS characters). Blank and shorter lines
-are never touched, nor are the other lines' characters.
+line number), or one within MAX_EDITS edits does (for lines of at least NEAR_CHARS characters). With `words`, so is one that an earlier line equals but for one word,
+of any length: another in its place, one more or one less (both of at least NEAR_CHARS characters and NEAR_WORDS words).
+Blank and shorter lines are never touched, nor are the other lines' characters.
 
 The edit join (after Li, Deng, Wang and Feng's Pass-Join, 2011) works on lines that are all different. A line of
 length l is cut into MAX_EDITS + 1 segments; two lines within MAX_EDITS share a segment at a place that the edits
 can have shifted only so far, so each line is hashed at the few places that fit, for each length that a partner can
 have. What meets is filtered by letter counts (an edit changes two of them by one at most; no pair is lost) and
 verified by edit distance, bit-parallel over the diagonals of the band.
+
+Two lines that differ by one word share a half of the shorter one's words. Lines whose halves occur once are left out;
+of the others each word is masked and each is deleted, and equal results are grouped, so that no pairs are made.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import spool
 
 MAX_EDITS, MIN_CHARS, NEAR_CHARS = 1, 12, 24
+NEAR_WORDS = 5  # of fewer words a different one is a different line
 BROADCAST_ROWS = 200_000  # of small rows; with more of them the other side shuffles
 _COUNTED = "etanoirs"
 
@@ -140,7 +145,39 @@ def near_lines(lines: DataFrame, docs: DataFrame, edits: int = MAX_EDITS, near_c
     return both.select("doc_a", "pos_a", "doc_b", "pos_b", "distance")
 
 
-def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_word_lines(lines: DataFrame, docs: DataFrame, near_chars: int = NEAR_CHARS, near_words: int = NEAR_WORDS) -> DataFrame:
+    """lines (doc_id, pos, line), all different and trimmed -> distinct (doc_id, pos) of those that an earlier line equals but for one word. docs (doc_id, text) has the lines' texts by number."""
+    line, n, i = F.col("line"), F.col("n"), F.col("i")
+    counted = lambda df: df.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).filter((F.length("line") >= near_chars) & (n >= near_words))
+    words = lambda k: F.call_function("substring_index", line, F.lit(" "), k.cast("int"))
+
+    def halves(m: Column) -> list[Column]:
+        """Of a line of m words its halves, of one of m + 1 what must be one of them."""
+        h = F.floor(m / 2)
+        return [F.when(m >= near_words, F.xxhash64(m, F.lit(side), words(k))) for side, k in ((0, h), (1, h - m))]
+
+    long = counted(lines)
+    held = long.select("doc_id", "pos", F.explode(F.array(*halves(n), *halves(n - 1))).alias("h")).filter("h is not null")
+    shared = spool(held.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"), "halves")
+    wanted = spool(held.join(_small(shared), "h").select("doc_id", "pos").distinct(), "halved")
+    texts = docs.join(_small(wanted), "doc_id").select("doc_id", "pos", _trimmed(F.get(F.split("text", "\n"), F.col("pos"))).alias("line"))
+    texts = texts.union(long.filter("doc_id is null").select("doc_id", "pos", "line"))  # which no join finds
+
+    each = counted(texts).repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))).select("doc_id", "pos", "line", "n", F.explode(F.sequence(F.lit(-1), n - 1)).alias("i"))
+    before, after = words(i), words(i + 1 - n)
+    key = lambda *parts: F.unhex(F.md5(F.concat(*parts)))
+    masked = key(F.lit("m"), i.cast("string"), F.lit(" "), before, F.lit(" "), after)
+    deleted = key(F.lit("w"), before, F.when((i > 0) & (i < n - 1), " ").otherwise(""), after)
+    made = F.when(i < 0, F.array(F.struct(F.lit("whole").alias("role"), key(F.lit("w"), line).alias("key")))).otherwise(F.array(F.struct(F.lit("masked").alias("role"), masked.alias("key")), F.struct(F.lit("deleted").alias("role"), deleted.alias("key"))))
+    keys = spool(each.select("doc_id", "pos", F.explode(made).alias("m")).select("doc_id", "pos", "m.role", "m.key"), "words")
+    at = F.struct("doc_id", "pos")
+    first = lambda role: F.min(F.when(F.col("role") == role, at)).alias(role)
+    groups = keys.groupBy("key").agg(first("whole"), first("masked"), first("deleted"), F.count("*").alias("k")).filter("k > 1 and (masked is not null or (whole is not null and deleted is not null))").drop("k")
+    earlier = F.when(F.col("role") == "masked", F.col("masked")).when(F.col("role") == "deleted", F.col("whole")).otherwise(F.col("deleted"))
+    return keys.join(_small(spool(groups, "one word")), "key").filter("doc_id is not null").filter(earlier < at).select("doc_id", "pos").distinct()
+
+
+def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS, words: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: row (all columns of docs as a struct), text (what is left), n_lines, n_equal, n_near.
 
     Null texts stay null; an empty table gives no rows. Rows with a null doc_id come first in the order and keep all
@@ -160,9 +197,11 @@ def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CH
     left = spool(left.withColumn("row", slim), "unequal")
 
     own = left.select("doc_id", "text")
-    lines = own.filter("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("line", _trimmed(F.col("line")))
-    near = near_lines(lines, own, edits, near_chars)
-    drops = spool(near.groupBy(F.col("doc_b").alias("doc_id")).agg(F.collect_set("pos_b").alias("drop")), "near")
+    lines = own.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("line", _trimmed(F.col("line")))
+    near = near_lines(lines.filter("doc_id is not null"), own, edits, near_chars).select(F.col("doc_b").alias("doc_id"), F.col("pos_b").alias("pos"))
+    if words:
+        near = near.union(one_word_lines(lines, own, near_chars))
+    drops = spool(near.groupBy("doc_id").agg(F.collect_set("pos").alias("drop")), "near")
     return left.join(_small(drops), "doc_id", "left").select(
         "row", _without(F.col("text"), F.col("drop")).alias("text"), F.col("n_lines").cast("long").alias("n_lines"), F.col("n_equal").cast("long").alias("n_equal"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_near"), "doc_id",
     )

@@ -136,3 +136,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_equal", "n_near", "text")
+
+
+@query("op2_line_dedup_words")
+def op2_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the pipeline does it: lines go too that an earlier one equals but for one word."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), words=True).select("doc_id", "n_lines", "n_equal", "n_near", "text")
