@@ -183,6 +183,13 @@ def q_spacing(spark, d):
     return own.select("doc_id", F.col("pos").cast("long").alias("pos"), T.space_punctuation(F.col("content")).alias("spaced"))
 
 
+@query("punctuation_spacing_lines")
+def q_spacing_lines(spark, d):
+    """All lines, those with periods too: SQL without look-around can't express N-06."""
+    own = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "content"))
+    return own.select("doc_id", F.col("pos").cast("long").alias("pos"), T.space_punctuation(F.col("content")).alias("spaced"))
+
+
 @query("numeric_literals", "select doc_id, count(*) as n from (select doc_id, unnest(string_split(text, ' ')) as w from documents) where regexp_matches(trim(w, ' ' || chr(9) || chr(10) || chr(13)), '^[+-]?[0-9,]+([.][0-9]+)?%?$') group by doc_id")
 def q_numeric(spark, d):
     words = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w"))
