@@ -51,12 +51,13 @@ def fold_characters(c: Column) -> Column:
     """Two ellipses are one; then every character of the map becomes ASCII."""
     c = F.replace(c, F.lit("……"), F.lit("…"))
     one = {k: v for k, v in character_map().items() if len(v) == 1 and len(k.encode("utf-16-le")) == 2}
+    more = {k: v for k, v in character_map().items() if k not in one}  # forms of more than one character, and what translate can't take
     c = F.translate(c, "".join(one), "".join(one.values()))
-    for k, v in character_map().items():
-        if k not in one and v.strip():  # forms of more than one character
-            if k in ASCII_PUNCTUATION:
-                c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in more.items()])
+    replaced = lambda x: F.aggregate(pairs, x, lambda s, p: F.replace(s, p["k"], p["v"]))
+    some = f"[{min(more)}-\U0010ffff&&[{''.join(more)}]]"  # most characters are below the range, which is one comparison
+    # a lambda's argument is computed once
+    return F.transform(F.array(c), lambda x: F.when(x.rlike(some), replaced(x)).otherwise(x))[0]
 
 
 def space_punctuation(c: Column) -> Column:
