@@ -289,6 +289,14 @@ def q_buckets(spark, d):
     return _diffs(spark, d).groupBy(F.when(bucket == "OTHER", "OTHER").otherwise("ADDED").alias("bucket")).agg(F.count("*").alias("n"))
 
 
+@query("diff_buckets_normalized")
+def q_buckets_normalized(spark, d):
+    """Every line against what the normalizer of mathematics makes of it (itself, where that fails), by the operator's five buckets; each different line once."""
+    texts = _blocks(spark, d).groupBy("content_sha256").agg(F.any_value("content").alias("raw"), F.count("*").alias("n"))
+    got = texts.select("n", "raw", F.coalesce(text_math(F.col("raw"))["text"], F.col("raw")).alias("new"))
+    return got.groupBy(audit.classify(F.col("raw"), F.col("new")).alias("bucket")).agg(F.sum("n").alias("n"))
+
+
 CASES = [(1, "x=1", "$x=1$"), (2, "the year 1999", "$the$ year $1999$"), (3, "n 10", "n $10$"), (4, "a，b", "$a$, $b$"), (5, "a b", "a b"), (6, "x，y", "$x$,$z$")]
 
 

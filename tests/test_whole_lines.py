@@ -1,9 +1,12 @@
 """Queries without SQL that run over all lines of documents, against brute force; odd lines are planted."""
 
 import os
+import re
+from collections import Counter
 
 import pytest
 
+from folioframe.functions import mathtext
 from folioframe.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +48,34 @@ def test_spacing(spark, folder):
     got = {(r.doc_id, r.pos): r.spaced for r in QUERIES["punctuation_spacing_lines"](spark, path).collect()}
     assert len(got) == len(lines) and sum("." in line for _, _, line in lines) > 10
     assert [(k, i, got[k, i]) for k, i, _ in lines] == [(k, i, _spaced(line)) for k, i, line in lines]
+
+
+def _normalized(line: str) -> str:
+    try:
+        return mathtext.normalize(line)[0]
+    except mathtext.MathTextError:
+        return line
+
+
+def _wraps(line: str) -> Counter:
+    return Counter(x for x in re.findall(r"\$([^$\n]*)\$", line) if re.match(r"^[+-]?[0-9,]+([.][0-9]+)?%?$", x.strip(" ")))
+
+
+def _bucket(raw: str, new: str) -> str:
+    def flat(t: str) -> str:
+        return "".join(t.replace("$", "").translate(str.maketrans("，。：；（）", ",.:;()")).split())
+
+    if new.count("$") <= raw.count("$"):
+        return "OTHER"
+    inner = re.findall(r"\$([^$]*)\$", new)
+    words = any(re.search(r"(?<!\\)\b[A-Za-z]{3,}\b", x) for x in re.findall(r"\$[^$\n]*\$", new))
+    if words or re.search(r"\b(19|20)[0-9]{2}\b", " ".join(inner)) or _wraps(new) - _wraps(raw):
+        return "HIGH_RISK"
+    return "WRAP_MATH_ONLY" if new.replace("$", "") == raw.replace("$", "") else "PUNCTUATION_ONLY" if flat(new) == flat(raw) else "MIXED"
+
+
+def test_buckets(spark, folder):
+    path, lines = folder
+    got = {r.bucket: r.n for r in QUERIES["diff_buckets_normalized"](spark, path).collect()}
+    want = Counter(_bucket(line, _normalized(line)) for _, _, line in lines)
+    assert got == want and len(want) >= 3, (got, want)
