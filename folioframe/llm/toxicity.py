@@ -9,8 +9,8 @@ A text is judged by length-normalised log-likelihood ratios, toxic against ordin
 few words make a long text toxic, of its worst WINDOW words and its worst word. A logistic regression, fitted on
 labelled rows that the models haven't seen, turns the three into a probability.
 
-Of about LABELLED labelled rows the models are made of about SAMPLE of each class, the regression of about FITTED, drawn by a hash of the
-text; every text is scored whole.
+Of all labelled rows outside the held-out fold the models are made of about SAMPLE of each class, the regression of about FITTED, drawn by a
+hash of the text; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from .langid import Model, _strings, count_strings, word_runs
 from .tokens import by_chars
 
 ORDER = 5
-LABELLED = 60_000  # labelled rows whose texts are looked at, about; 16 bytes each are broadcast
 SAMPLE = 4000
 FITTED = 8000
 WINDOW = 12
@@ -213,34 +212,6 @@ def clean(docs: DataFrame, judge: Judge | None, text_col: str = "text", threshol
     return docs.mapInArrow(keep, docs.schema)
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, toxic) of about LABELLED of the labelled rows outside the held-out fold, drawn by a hash of the id. Of an id that is labelled more than once, the largest label counts. The texts don't shuffle."""
-    own = labels.filter("doc_id is not null and toxic is not null").filter(learned("doc_id", folds) != held).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    own = spool(own, "labels")
-    share = min(1.0, LABELLED / max(1, own.count()))
-    drawn = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share * 1_000_003)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(F.broadcast(drawn), "doc_id").select("text", "toxic")
-
-
-def clean(docs: DataFrame, judge: Judge | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows that score threshold or more; all columns stay. Each row is judged by its own text, so ids may repeat or be null."""
-    if judge is None:
-        return docs
-    shared = docs.sparkSession.sparkContext.broadcast(judge)
-    at = docs.columns.index(text_col)
-
-    def keep(batches):
-        import pyarrow as pa
-
-        scorer = Scorer(shared.value.model)
-        for b in batches:
-            if b.num_rows:
-                yield b.filter(pa.array(shared.value.score(scorer.features([t or "" for t in b.column(at).to_pylist()])) < threshold))
-
-    return docs.mapInArrow(keep, docs.schema)
-
-
 def labelled_texts(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(text, toxic) of the labelled rows outside the held-out fold. Of an id that is labelled more than once, the largest label counts."""
     own = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
