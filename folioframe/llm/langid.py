@@ -45,16 +45,15 @@ def word_runs(texts: list[str]):
 
 
 def _strings(words: list[bytes], order: int):
-    """Of each byte that is coded (all but a word's leading blank): the packed strings of 1 to order + 1 bytes that end there, -1 where the word doesn't reach so far; and the word's number."""
-    raw = np.frombuffer(b"".join([b" " + w + b" " for w in words]), np.uint8).astype(np.int64)
+    """The packed strings of 1 to order + 1 bytes (8 at most) that end at each byte of the words between blanks, each byte's place in its word (strings that are longer than the place allows mean nothing; place 0, the leading blank, is not coded), and the word's number."""
+    raw = np.frombuffer(b"".join([b" " + w + b" " for w in words]), np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, words), np.int64, len(words)) + 2
     place = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
-    packed, out = np.zeros(len(raw), np.int64), []
-    for k in range(order + 1):
-        earlier = np.concatenate((np.zeros(k, np.int64), raw[: len(raw) - k]))
-        packed = packed | (earlier << (8 * k))
-        out.append(np.where(place >= k, packed, -1))
-    return out, place > 0, np.repeat(np.arange(len(words)), size)
+    out = [raw]
+    for k in range(1, order + 1):
+        earlier = np.concatenate((np.zeros(k, np.uint64), raw[: max(0, len(raw) - k)]))[: len(raw)]
+        out.append(out[-1] | (earlier << np.uint64(8 * k)))
+    return out, place, np.repeat(np.arange(len(words)), size)
 
 
 class Model:
@@ -64,6 +63,7 @@ class Model:
         """counted: arrays (lang, k, gram, n), k + 1 being the gram's bytes."""
         self.langs, self.order, self.keys, self.n, self.total, self.kinds = langs, order, [], [], [], []
         lang, length, gram, n = counted
+        gram = gram.astype(np.uint64)
         for k in range(order + 1):
             own = length == k
             keys = np.unique(gram[own])
@@ -72,9 +72,9 @@ class Model:
             self.keys.append(keys)
             self.n.append(table)
         for k in range(order + 1):  # what follows each context of k bytes
-            keys = self.keys[k - 1] if k else np.zeros(1, np.int64)
+            keys = self.keys[k - 1] if k else np.zeros(1, np.uint64)
             total, kinds = np.zeros((len(keys) + 1, len(langs))), np.zeros((len(keys) + 1, len(langs)))
-            at = self._find(keys, self.keys[k] >> 8) if k else np.zeros(len(self.keys[k]), np.int64)
+            at = self._find(keys, self.keys[k] >> np.uint64(8)) if k else np.zeros(len(self.keys[k]), np.int64)
             np.add.at(total, at, self.n[k][:-1])
             np.add.at(kinds, at, self.n[k][:-1] > 0)
             total[-1] = kinds[-1] = 0
@@ -89,8 +89,9 @@ class Model:
 
     def bits(self, words: list[bytes]) -> np.ndarray:
         """Code length of each word (with the blank that ends it) in each language."""
-        strings, coded, word = _strings(words, self.order)
-        found = [self._find(k, s) for k, s in zip(self.keys, strings, strict=True)]
+        strings, place, word = _strings(words, self.order)
+        coded = place > 0
+        found = [np.where(place >= k, self._find(keys, s), len(keys)) for k, (keys, s) in enumerate(zip(self.keys, strings, strict=True))]
         cost = np.full((int(coded.sum()), len(self.langs)), 8.0)
         with np.errstate(divide="ignore", invalid="ignore"):
             for k in range(self.order + 1):
@@ -99,15 +100,15 @@ class Model:
                 total, kinds, own = self.total[k][context], self.kinds[k][context], self.n[k][found[k][coded]]
                 whole = total + kinds
                 better = np.where(own > 0, -np.log2(own / whole), cost - np.log2(kinds / whole))
-                cost = np.where((total > 0) & (strings[k][coded] >= 0)[:, None], better, cost)
+                cost = np.where((total > 0) & (place[coded] >= k)[:, None], better, cost)
         out = np.zeros((len(words), len(self.langs)))
         for j in range(len(self.langs)):
             out[:, j] = np.bincount(word[coded], cost[:, j], len(words))
         return out
 
 
-def count_strings(drawn: DataFrame, order: int):
-    """drawn (text, class int) -> arrays (class, k, gram, n) of the packed strings of all words. Counted where the rows are and summed; what comes to the driver is bounded by the sample that is drawn."""
+def count_strings(drawn: DataFrame, order: int, each: bool = False):
+    """drawn (text, class int) -> arrays (class, k, gram, n) of the packed strings of all words; with `each` a word counts once a text, and texts are lower-cased. Counted where the rows are and summed; what comes to the driver is bounded by the sample that is drawn."""
 
     def count(batches):
         import pyarrow as pa
@@ -117,17 +118,21 @@ def count_strings(drawn: DataFrame, order: int):
             for j in np.unique(kind):
                 some = [text[r] for r in np.flatnonzero(kind == j)]
                 for _, texts in by_chars([pa.RecordBatch.from_arrays([pa.array(range(len(some))), pa.array(some, pa.string())], ["k", "t"])]):
-                    found, _ = word_runs(texts)
-                    weight = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
-                    strings, coded, word = _strings(found.dictionary.to_pylist(), order)
+                    found, bounds = word_runs([t.lower() for t in texts] if each else texts)
+                    index, size = found.indices.to_numpy().astype(np.int64), len(found.dictionary)
+                    if each and size:
+                        index = np.unique(np.repeat(np.arange(len(texts)), np.diff(bounds)) * size + index) % size
+                    weight = np.bincount(index, minlength=size)
+                    strings, place, word = _strings(found.dictionary.to_pylist(), order)
                     for k, s in enumerate(strings):
-                        own = coded & (s >= 0)
+                        own = (place > 0) & (place >= k)
                         grams, at = np.unique(s[own], return_inverse=True)
                         n = np.bincount(at, weight[word[own]], len(grams)).astype(np.int64)
-                        yield pa.RecordBatch.from_pydict({"class": pa.array(np.full(len(grams), j, np.int32)), "k": pa.array(np.full(len(grams), k, np.int32)), "gram": pa.array(grams), "n": pa.array(n)})
+                        yield pa.RecordBatch.from_pydict({"class": pa.array(np.full(len(grams), j, np.int32)), "k": pa.array(np.full(len(grams), k, np.int32)), "gram": pa.array(grams.view(np.int64)), "n": pa.array(n)})
 
     counted = drawn.mapInArrow(count, "class int, k int, gram long, n long").groupBy("class", "k", "gram").agg(F.sum("n").alias("n")).toArrow()
-    return tuple(counted.column(c).to_numpy() for c in ("class", "k", "gram", "n"))
+    own = {c: counted.column(c).to_numpy() for c in ("class", "k", "gram", "n")}
+    return own["class"], own["k"], own["gram"].astype(np.int64).view(np.uint64), own["n"]
 
 
 def train(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> Model:
@@ -136,7 +141,7 @@ def train(labelled: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> Mode
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
     langs = sorted(sizes)
     if not langs:
-        return Model((np.zeros(0, np.int64),) * 4, [], order)
+        return Model((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], order)
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))])
     drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
     number = F.element_at(F.create_map(*[F.lit(x) for k, lang in enumerate(langs) for x in (lang, k)]), F.col("lang"))
@@ -156,11 +161,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     kind = to_arrow_type(rows.schema["doc_id"].dataType)
 
     def judge(batches):
-        import gc
-
         import pyarrow as pa
 
-        gc.disable()
         own = shared.value
         place: dict[bytes, int] = {}
         table = np.zeros((1 << 12, max(1, len(own.langs))), np.float32)

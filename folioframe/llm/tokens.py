@@ -10,13 +10,12 @@ The ids are those of the whole text. Two ways to cut:
 
 from __future__ import annotations
 
-import gc
 import os
 import re
 
 import numpy as np
 
-CACHE = 1_000_000  # pieces that a worker keeps; when they are more, the cache starts again
+CACHE = 48_000_000  # bytes of pieces and ids that a worker keeps, and 100 for each piece; when they are more, the cache starts again
 
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS, _MARKS = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}", r".,;:!?%&*$#()\"/=_+\-|@"
@@ -44,7 +43,7 @@ class Encoder:
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 65536 else np.uint32
         letters = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # fixed values: bytes that byte-level vocabularies write as themselves
         self.alphabet = {b: b for b in letters} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in letters)}
-        self.limit, self.cache = cache, {}
+        self.limit, self.cache, self.held = cache, {}, 0
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         kind = self.kind
@@ -61,12 +60,15 @@ class Encoder:
     def _pieces(self, pieces: list[str], runs: bool) -> list[bytes]:
         """Ids of each piece, by the cache."""
         cache = self.cache
-        if len(cache) > self.limit:
+        if self.held > self.limit:
             cache.clear()
+            self.held = 0
         new = list({p for p in pieces if p not in cache})
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
-            cache.update(zip(some, (self._encode_runs if runs else self._encode)(some), strict=True))
+            coded = (self._encode_runs if runs else self._encode)(some)
+            self.held += sum(map(len, some)) + sum(map(len, coded)) + 100 * len(some)
+            cache.update(zip(some, coded, strict=True))
         return [cache[p] for p in pieces]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,21 +133,36 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """One for each worker process and file."""
     if path not in _encoders:
-        gc.disable()  # the cache holds no cycles, and to walk it again and again takes long
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
-def by_chars(batches, chars: int = 3_000_000):
+def by_chars(batches, chars: int = 2_000_000):
     """(ids, texts) lists of about so many characters from Arrow batches of (id, text): bounded memory for long texts."""
     keys, texts, n = [], [], 0
     for b in batches:
-        for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            keys.append(k)
+        for at in range(0, b.num_rows, 256):
+            some = b.slice(at, 256)
+            for k, t in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                keys.append(k)
+                texts.append(t or "")
+                n += len(texts[-1])
+                if n >= chars:
+                    yield keys, texts
+                    keys, texts, n = [], [], 0
+    if keys:
+        yield keys, texts
+
+
+def text_slices(column, chars: int = 2_000_000):
+    """(start, texts) of a column of texts, slices of about so many characters one after the other."""
+    start, texts, n = 0, [], 0
+    for at in range(0, len(column), 256):
+        for t in column.slice(at, 256).to_pylist():
             texts.append(t or "")
             n += len(texts[-1])
             if n >= chars:
-                yield keys, texts
-                keys, texts, n = [], [], 0
-    if keys:
-        yield keys, texts
+                yield start, texts
+                start, texts, n = start + len(texts), [], 0
+    if texts:
+        yield start, texts

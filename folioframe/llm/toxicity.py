@@ -1,16 +1,19 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two models of the bytes of words, one of toxic and one of ordinary labelled texts: interpolated Kneser-Ney of strings up
-to ORDER + 1 bytes within a blank, the word and a blank. The longest strings have their class's counts, shorter ones
-the class's continuation counts (how many different bytes stand before), and the shortest, to which both classes back
-off, share the continuation counts of both, so that a rare expression is not held against the smaller class.
-
-A text is judged by length-normalised log-likelihood ratios, toxic against ordinary: of the whole text, and, since a
-few words make a long text toxic, of its worst WINDOW words and its worst word. A logistic regression, fitted on
-labelled rows that the models haven't seen, turns the three into a probability.
-
-Of all labelled rows outside the held-out fold the models are made of about SAMPLE of each class, the regression of about FITTED, drawn by a
-hash of the text; every text is scored whole.
+to ORDER + 1 bytes within a blank, the word and a blank. A word counts once a text, so that one that a single text
+repeats is as rare as it is. The longest strings have their class's counts, shorter ones the class's continuation
+counts (how many different bytes stand before), and the shortest, to which both classes back off, share the
+continuation counts of both, so that a rare expression is not held against the smaller class. What is taken off a
+count grows with it (DISCOUNTS of 1, 2 and more): what one text alone has says nothing but by its shorter strings.
+
+A text is judged by log-likelihood ratios, toxic against ordinary, of its words: of the whole text and of its worst
+WINDOW words by length, of all its different words by length, and, since a few words make a long text toxic, of the
+worst two and four different words and of what exceeds EXCESS. A logistic regression turns them into a probability.
+It is fitted on labelled rows that its models haven't seen; the models that score then learn from those rows too.
+
+Bounds: of all labelled rows outside the held-out fold about SAMPLE of each class are drawn by a hash of the id, before
+their texts are read; a fifth of them, by a hash of the text, is for the regression. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -21,16 +24,23 @@ from pyspark.sql import functions as F
 
 from .common import learned, spool
 from .langid import Model, _strings, count_strings, word_runs
-from .tokens import by_chars
+from .tokens import by_chars, text_slices
 
-ORDER = 5
-SAMPLE = 4000
-FITTED = 8000
+ORDER = 7
+SAMPLE = 6000
 WINDOW = 12
-DISCOUNT = 0.75
+EXCESS = 3.0
+DISCOUNTS = (1.0, 1.6, 1.8)
 SHARED = 1  # strings of up to so many bytes of context have the counts of both classes
-WORDS_KEPT = 700_000
+WORDS_KEPT = 250_000  # of at most LONGEST bytes, with 16 bytes of figures
+LONGEST = 64
+CHARS = 2_000_000  # judged at once
 THRESHOLD = 0.3
+FEATURES = 7
+
+
+def _taken(n: np.ndarray) -> np.ndarray:
+    return np.minimum(n, np.select([n < 2, n < 3], DISCOUNTS[:2], DISCOUNTS[2]))
 
 
 class KneserNey:
@@ -38,71 +48,97 @@ class KneserNey:
 
     def __init__(self, counted, order: int = ORDER):
         raw = Model(counted, ["0", "1"], order)
-        self.order, self.keys, self.n, self.total, self.kinds = order, raw.keys, [], [], []
+        self.order, self.keys, self.n, self.left = order, [], [], []
+        owns, wholes, shares = [], [], []
         for k in range(order + 1):
             n = raw.n[k].copy()
             if k < order:  # continuation counts; what begins a word has no byte before it and keeps its own
                 longer = raw.keys[k + 1]
                 fresh = np.zeros_like(n)
-                np.add.at(fresh, Model._find(raw.keys[k], longer & ((1 << (8 * (k + 1))) - 1)), raw.n[k + 1][:-1] > 0)
-                begins = np.append((raw.keys[k] >> (8 * k)) == 32, False)
+                np.add.at(fresh, Model._find(raw.keys[k], longer & np.uint64((1 << (8 * (k + 1))) - 1)), raw.n[k + 1][:-1] > 0)
+                begins = np.append((raw.keys[k] >> np.uint64(8 * k)) == 32, False)
                 n = np.where(begins[:, None], n, np.maximum(fresh, n > 0))
                 n[-1] = 0
             if k <= SHARED:
                 n = np.repeat(n.sum(axis=1, keepdims=True), 2, axis=1)
-            contexts = raw.keys[k - 1] if k else np.zeros(1, np.int64)
-            at = Model._find(contexts, raw.keys[k] >> 8) if k else np.zeros(len(raw.keys[k]), np.int64)
-            total, kinds = np.zeros((len(contexts) + 1, 2)), np.zeros((len(contexts) + 1, 2))
+            contexts = raw.keys[k - 1] if k else np.zeros(1, np.uint64)
+            at = Model._find(contexts, raw.keys[k] >> np.uint64(8)) if k else np.zeros(len(raw.keys[k]), np.int64)
+            total, taken = np.zeros((len(contexts) + 1, 2)), np.zeros((len(contexts) + 1, 2))
             np.add.at(total, at, n[:-1])
-            np.add.at(kinds, at, n[:-1] > 0)
-            total[-1] = kinds[-1] = 0
-            self.n.append(n)
-            self.total.append(total)
-            self.kinds.append(kinds)
+            np.add.at(taken, at, _taken(n[:-1]))
+            total[-1] = taken[-1] = 0
+            whole = np.maximum(total, 1)[np.append(at, len(contexts))]
+            owns.append((n - _taken(n)) / whole)
+            wholes.append(contexts)
+            shares.append(np.where(total > 0, taken / np.maximum(total, 1), 1.0))
+        # a string of which all is taken off in both classes has no share of its own, and a context that gives all its
+        # weight away is one that was never seen: both can go without a change of any probability
+        for k in range(order + 1):
+            some = (owns[k][:-1] > 0).any(axis=1)
+            self.keys.append(raw.keys[k][some])
+            self.n.append(np.vstack((owns[k][:-1][some], np.zeros((1, 2)))))
+            open_ = (shares[k][:-1] < 1).any(axis=1) if k else np.ones(1, bool)
+            self.left.append((wholes[k][open_], np.vstack((shares[k][:-1][open_], np.ones((1, 2))))))
+
+    def probabilities(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(n x 2 probabilities of each byte of the words and the blanks that end them in both classes, number of the byte's word)."""
+        strings, place, word = _strings(words, self.order)
+        coded = place > 0
+        places = place[coded]
+        p = np.full((len(places), 2), 1 / 256)
+        for k in range(self.order + 1):
+            fits = places >= k
+            own = np.where(fits, Model._find(self.keys[k], strings[k][coded]), len(self.keys[k]))
+            contexts, left = self.left[k]
+            if k:  # the context of k bytes ended one byte earlier
+                before = np.concatenate((np.zeros(1, np.uint64), strings[k - 1][:-1]))[coded]
+                at = np.where(fits, Model._find(contexts, before), len(contexts))
+            else:
+                at = np.zeros(len(places), np.int64)
+            p = self.n[k][own] + left[at] * p
+        return p, word[coded]
 
     def ratio(self, words: list[bytes]) -> np.ndarray:
         """Log-likelihood of each word (with the blank that ends it) as toxic less that as ordinary."""
-        strings, coded, word = _strings(words, self.order)
-        found = [Model._find(k, s) for k, s in zip(self.keys, strings, strict=True)]
-        p = np.full((int(coded.sum()), 2), 1 / 256)
-        for k in range(self.order + 1):
-            context = np.concatenate(([0], found[k - 1][:-1]))[coded] if k else np.zeros(len(p), np.int64)
-            total, kinds, own = self.total[k][context], self.kinds[k][context], self.n[k][found[k][coded]]
-            whole = np.maximum(total, 1)
-            better = np.maximum(own - DISCOUNT, 0) / whole + DISCOUNT * kinds / whole * p
-            p = np.where((total > 0) & (strings[k][coded] >= 0)[:, None], better, p)
-        return np.bincount(word[coded], np.log(p[:, 1]) - np.log(p[:, 0]), len(words))
+        p, word = self.probabilities(words)
+        return np.bincount(word, np.log(p[:, 1]) - np.log(p[:, 0]), len(words))
 
 
 class Scorer:
     """Features of texts, each word judged once."""
 
     def __init__(self, model: KneserNey):
-        import gc
-
-        gc.disable()  # the cache holds no cycles
         self.model, self.place, self.table = model, {}, np.zeros((1 << 12, 2))
 
-    def features(self, texts: list[str]) -> np.ndarray:
-        """n x 3: of the whole text, the worst window and the worst word; zeros without words."""
+    def _words(self, vocabulary: list[bytes]) -> np.ndarray:
+        """Ratio and bytes of each word."""
         place = self.place
-        found, bounds = word_runs([t.lower() for t in texts])
-        vocabulary, index = found.dictionary.to_pylist(), found.indices.to_numpy()
         if len(place) > WORDS_KEPT:
             place.clear()
-        new = [w for w in vocabulary if w not in place]
-        while len(place) + len(new) > len(self.table):
+        out = np.zeros((len(vocabulary), 2))
+        known = np.fromiter((place.get(w, -1) for w in vocabulary), np.int64, len(vocabulary))
+        out[known >= 0] = self.table[known[known >= 0]]
+        new = np.flatnonzero(known < 0)
+        for i in range(0, len(new), 10000):
+            at = new[i : i + 10000]
+            some = [vocabulary[j] for j in at.tolist()]
+            out[at, 0] = self.model.ratio(some)
+            out[at, 1] = np.fromiter(map(len, some), np.float64, len(some)) + 1
+        kept = [j for j in new.tolist() if len(vocabulary[j]) <= LONGEST]
+        while len(place) + len(kept) > len(self.table):
             self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-        for i in range(0, len(new), 20000):
-            some = new[i : i + 20000]
-            at = slice(len(place) + i, len(place) + i + len(some))
-            self.table[at, 0] = self.model.ratio(some)
-            self.table[at, 1] = np.fromiter(map(len, some), np.float64, len(some)) + 1
-        place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-        own = self.table[np.fromiter(map(place.__getitem__, vocabulary), np.int64, len(vocabulary))[index]]
-        out = np.zeros((len(texts), 3))
+        self.table[len(place) : len(place) + len(kept)] = out[kept]
+        place.update(zip([vocabulary[j] for j in kept], range(len(place), len(place) + len(kept)), strict=True))
+        return out
+
+    def features(self, texts: list[str]) -> np.ndarray:
+        """n x FEATURES; zeros without words."""
+        found, bounds = word_runs([t.lower() for t in texts])
+        vocabulary, index = self._words(found.dictionary.to_pylist()), found.indices.to_numpy().astype(np.int64)
+        out = np.zeros((len(texts), FEATURES))
         some = np.flatnonzero(np.diff(bounds))
         if len(some):
+            own = vocabulary[index]
             sums = np.concatenate((np.zeros((1, 2)), np.cumsum(own, axis=0)))
             first, last = bounds[:-1][some], bounds[1:][some]
             whole = sums[last] - sums[first]
@@ -111,14 +147,26 @@ class Scorer:
             begin = np.minimum(np.arange(len(own)), np.maximum(first, last - WINDOW)[text])
             inner = sums[np.minimum(begin + WINDOW, last[text])] - sums[begin]
             out[some, 1] = np.maximum.reduceat(inner[:, 0] / inner[:, 1], first)
-            out[some, 2] = np.maximum.reduceat(own[:, 0] / own[:, 1], first)
+            # different words of each text, the worst first
+            each = np.unique(text * len(vocabulary) + index)
+            text, word = np.divmod(each, len(vocabulary))
+            order = np.lexsort((-vocabulary[word, 0], text))
+            ratios, first = vocabulary[word[order]], np.searchsorted(text, np.arange(len(some)))
+            n = np.diff(np.append(first, len(text)))
+            sums = np.concatenate((np.zeros((1, 2)), np.cumsum(ratios, axis=0)))
+            for j, most in ((2, 2), (3, 4)):
+                out[some, j] = sums[first + np.minimum(n, most), 0] - sums[first, 0]
+            out[some, 4] = np.add.reduceat(np.maximum(ratios[:, 0] - EXCESS, 0), first) / np.sqrt(n)
+            whole = sums[first + n] - sums[first]
+            out[some, 5] = whole[:, 0] / whole[:, 1]
+            out[some, 6] = np.log(n + 1)
         return out
 
 
 def _features(model: KneserNey, batches):
-    """(ids, n x 3 features) of Arrow batches (id, text)."""
+    """(ids, features) of Arrow batches (id, text)."""
     scorer = Scorer(model)
-    for keys, texts in by_chars(batches, 5_000_000):
+    for keys, texts in by_chars(batches, CHARS):
         yield keys, scorer.features(texts)
 
 
@@ -146,40 +194,33 @@ class Judge:
         return 1 / (1 + np.exp(-np.clip(np.column_stack(((x - mean) / scale, np.ones(len(x)))) @ w, -30, 30)))
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, fitted: int = FITTED) -> Judge | None:
-    """labelled (text, toxic) -> Judge; None where a class is missing. Equal texts are on the same side of the split. What comes to the driver is bounded by sample and fitted."""
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003))
-    rows = labelled.filter("toxic in (0, 1) and text is not null").select("text", F.col("toxic").cast("int").alias("class"), draw.alias("draw"))
-    fits = F.col("draw") % 5 == 0
-    sizes = {(r["class"], r["fits"]): r["n"] for r in rows.groupBy("class", fits.alias("fits")).agg(F.count("*").alias("n")).collect()}
-    if not all(sizes.get((c, False)) for c in (0, 1)):
+def train(labelled: DataFrame) -> Judge | None:
+    """labelled (text, toxic), a bounded table (see labelled_texts) -> Judge; None where a class is missing. Rows without text or of other labels are left out; equal texts are on the same side of the split."""
+    rows = spool(labelled.filter("toxic in (0, 1) and text is not null").select("text", F.col("toxic").cast("int").alias("class"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("fits")), "labelled")
+    sizes = {(r["class"], r["fits"]): r["n"] for r in rows.groupBy("class", "fits").agg(F.count("*").alias("n")).collect()}
+    if not all(any(sizes.get((c, f)) for f in (True, False)) for c in (0, 1)):
         return None
-    share = [min(1.0, sample / sizes[c, False]) for c in (0, 1)]
-    drawn = rows.filter(~fits & (F.col("draw") < F.when(F.col("class") == 1, share[1]).otherwise(share[0]) * 1_000_003))
-    model = KneserNey(count_strings(drawn.select("text", "class"), ORDER))
-
-    part = min(1.0, fitted / max(1, sum(n for (_, f), n in sizes.items() if f)))
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    final = KneserNey(count_strings(rows.select("text", "class"), ORDER, each=True))
+    if not all(sizes.get((c, f)) for c in (0, 1) for f in (True, False)):  # too few to fit: the worst window alone
+        return Judge(final, (np.zeros(FEATURES), np.ones(FEATURES), np.array([0.0, 4.0, *[0.0] * (FEATURES - 2), -2.0])))
+    shared = labelled.sparkSession.sparkContext.broadcast(KneserNey(count_strings(rows.filter("not fits").select("text", "class"), ORDER, each=True)))
 
     def features(batches):
         import pyarrow as pa
 
         for keys, x in _features(shared.value, batches):
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *(pa.array(x[:, j]) for j in range(3))], ["class", "a", "b", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], ["class", "x"])
 
-    got = rows.filter(fits & (F.col("draw") < part * 1_000_003)).select("class", "text").mapInArrow(features, "class int, a double, b double, c double").toArrow()
-    x = np.column_stack([got.column(c).to_numpy() for c in "abc"])
-    y = got.column("class").to_numpy().astype(float)
-    if len(y) == 0 or y.min() == y.max():  # too few to fit: the worst window alone
-        return Judge(model, (np.zeros(3), np.ones(3), np.array([0.0, 4.0, 0.0, -2.0])))
-    return Judge(model, _fit(x, y))
+    got = rows.filter("fits").select("class", "text").mapInArrow(features, "class int, x array<double>").toArrow()
+    x, y = np.array(got.column("x").to_pylist()).reshape(-1, FEATURES), got.column("class").to_numpy().astype(float)
+    return Judge(final, _fit(x, y))
 
 
 def score(docs: DataFrame, judge: Judge | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score, predicted for each row and whole text; null counts as empty. Score 0 where nothing could be learned."""
+    """doc_id, score, predicted for each row and whole text; null counts as empty, repeated and null ids are judged each. Score 0 where nothing could be learned. Long texts are judged alone; further columns are ignored."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    shared = docs.sparkSession.sparkContext.broadcast(judge)
+    shared = docs.sparkSession.sparkContext.broadcast(judge)  # bounded by the sample
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = to_arrow_type(rows.schema["doc_id"].dataType)
 
@@ -187,7 +228,7 @@ def score(docs: DataFrame, judge: Judge | None, id_col: str = "doc_id", text_col
         import pyarrow as pa
 
         own = shared.value
-        for keys, x in _features(own.model, batches) if own else ((k, np.zeros((len(t), 3))) for k, t in by_chars(batches)):
+        for keys, x in _features(own.model, batches) if own else ((k, np.zeros((len(t), FEATURES))) for k, t in by_chars(batches)):
             p = own.score(x) if own else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
@@ -195,7 +236,7 @@ def score(docs: DataFrame, judge: Judge | None, id_col: str = "doc_id", text_col
 
 
 def clean(docs: DataFrame, judge: Judge | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows that score threshold or more; all columns stay. Each row is judged by its own text, so ids may repeat or be null."""
+    """docs without the rows that score threshold or more; all columns stay. Each row is judged by its own text, so ids may repeat or be null; null and empty texts stay unless the empty text scores so high."""
     if judge is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(judge)
@@ -206,17 +247,27 @@ def clean(docs: DataFrame, judge: Judge | None, text_col: str = "text", threshol
 
         scorer = Scorer(shared.value.model)
         for b in batches:
-            if b.num_rows:
-                yield b.filter(pa.array(shared.value.score(scorer.features([t or "" for t in b.column(at).to_pylist()])) < threshold))
+            for start, texts in text_slices(b.column(at), CHARS):
+                yield b.slice(start, len(texts)).filter(pa.array(shared.value.score(scorer.features(texts)) < threshold))
 
     return docs.mapInArrow(keep, docs.schema)
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, toxic) of the labelled rows outside the held-out fold. Of an id that is labelled more than once, the largest label counts."""
-    own = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+def labelled_texts(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """(text, toxic) of about `sample` labelled rows of each class outside the held-out fold.
+
+    Of an id that is labelled more than once, the largest label counts. The rows are drawn by a hash of the id among the
+    labels alone; the ids drawn, bounded by the sample, are broadcast, so that no text shuffles.
+    """
+    own = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (learned("doc_id", folds) != held)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    own = spool(own.withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))), "labels")
+    sizes = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = F.lit(0.0)
+    for kind, n in sizes.items():
+        share = F.when(F.col("toxic") == kind, min(1.0, sample / n)).otherwise(share)
+    drawn = own.filter(F.col("draw") < share * 1_000_003).select(F.col("doc_id").alias("labelled_id"), "toxic")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.filter(learned("doc_id", folds) != held).join(own, "doc_id").select("text", "toxic")
+    return rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled_id")).select("text", "toxic")
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
