@@ -15,7 +15,9 @@ from __future__ import annotations
 import bisect
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -60,8 +62,11 @@ def _read_varint(raw: bytes, at: int) -> tuple[int, int]:
         shift += 7
 
 
-def _probes(key: bytes, bits: int) -> list[int]:
-    a, b = zlib.crc32(key), zlib.crc32(key, 0x9E3779B9) | 1
+def _hashes(key: bytes) -> tuple[int, int]:
+    return zlib.crc32(key), zlib.crc32(key, 0x9E3779B9) | 1
+
+
+def _probes(a, b, bits: int) -> list:
     return [(a + i * b) % bits for i in range(PROBES)]
 
 
@@ -74,7 +79,7 @@ class Writer:
         self.out, self.width, self.at = out, width, 0
         self.zip = zstandard.ZstdCompressor(level=1)
         self.block, self.first, self.last = bytearray(), b"", None
-        self.index, self.keys, self.blocks = bytearray(), [], 0
+        self.index, self.hashes, self.blocks = bytearray(), array("Q"), 0  # of each key its two hashes, 16 bytes an entry
 
     def add(self, key: bytes, ids: np.ndarray) -> None:
         if self.last is not None and key < self.last:
@@ -88,7 +93,7 @@ class Writer:
         value = ids.astype(f"<u{self.width}").tobytes()
         self.block += _varint(shared) + _varint(len(key) - shared) + _varint(len(value)) + key[shared:] + value
         self.last = key
-        self.keys.append(key)
+        self.hashes.extend(_hashes(key))
         if len(self.block) >= BLOCK:
             self._flush()
 
@@ -104,14 +109,15 @@ class Writer:
 
     def close(self) -> None:
         self._flush()
-        bits = max(64, BITS_PER_KEY * len(self.keys))
-        bloom = bytearray(-(-bits // 8))
-        for key in self.keys:
-            for p in _probes(key, len(bloom) * 8):
-                bloom[p >> 3] |= 1 << (p & 7)
+        n = len(self.hashes) // 2
+        bloom = np.zeros(-(-max(64, BITS_PER_KEY * n) // 8), np.uint8)
+        own = np.frombuffer(self.hashes, np.uint64).reshape(-1, 2)
+        for some in (own[i : i + 100_000] for i in range(0, n, 100_000)):
+            for p in _probes(some[:, 0], some[:, 1], np.uint64(len(bloom) * 8)):
+                np.bitwise_or.at(bloom, (p >> np.uint64(3)).astype(np.int64), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8))
         self.out.write(bytes(self.index))
-        self.out.write(bytes(bloom))
-        self.out.write(FOOTER.pack(self.at, len(self.index), self.at + len(self.index), len(bloom), len(self.keys), self.blocks, self.width) + MAGIC)
+        self.out.write(bloom.tobytes())
+        self.out.write(FOOTER.pack(self.at, len(self.index), self.at + len(self.index), len(bloom), n, self.blocks, self.width) + MAGIC)
 
 
 class Reader:
@@ -163,7 +169,7 @@ class Reader:
     def may_hold(self, key: bytes) -> bool:
         if self._bloom is None:
             self._bloom = self._at(self.bloom_at, self.bloom_n)
-        return all(self._bloom[p >> 3] >> (p & 7) & 1 for p in _probes(key, self.bloom_n * 8))
+        return all(self._bloom[p >> 3] >> (p & 7) & 1 for p in _probes(*_hashes(key), self.bloom_n * 8))
 
     def get(self, doc_id: int | None) -> list[np.ndarray]:
         """All values of an id (more than one only where ids repeat)."""
@@ -199,7 +205,7 @@ def write_tables(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     """Write shards in ascending doc_id order below folder; the manifest: path, shard, entries, tokens, first_id, last_id.
 
     Texts are range-partitioned by doc_id and sorted in each partition; null texts count as empty, null ids come
-    first, repeated ids stay beside each other. The manifest has one row per shard and is a table in the shared folder.
+    first, repeated ids stay beside each other. Ids must be numbers that fit a long. The manifest has one row per shard and is a table in the shared folder.
     """
     tokenizer = tokenizer or default_tokenizer()
     rows = rows_of(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
@@ -250,13 +256,13 @@ def read_tables(manifest: DataFrame) -> DataFrame:
             for path, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 files, place = store(path)
                 with files.open_input_file(place) as file:
-                    out = []
-                    for key, ids in Reader(file, file.size()).entries():
-                        out.append((id_of(key), at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                        at += len(ids)
-                    for i in range(0, len(out), 10000):
-                        columns = zip(*out[i : i + 10000], strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    entries = Reader(file, file.size()).entries()
+                    while some := list(islice(entries, 200)):
+                        out = []
+                        for key, ids in some:
+                            out.append((id_of(key), at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                            at += len(ids)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return todo.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
