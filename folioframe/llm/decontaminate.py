@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .minhash import _mix, _words
+from .tokens import text_slices
 
 _U = np.uint64
 WIDTH, PERCENT = 5, 80
@@ -169,56 +170,62 @@ def _parts(benchmark: DataFrame, limit: int) -> int:
     return max(1, -(-total // limit))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, limit: int = BENCHMARK_BYTES) -> DataFrame:
-    """doc_id, item_id, similarity, first_word, n_words: the best window of each document for each item that it matches.
+def _benchmarks(benchmark: DataFrame, limit: int):
+    """Broadcast parts of the benchmark, each of about `limit` bytes of text at most."""
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null and item_id is not null")
+    parts = _parts(items, limit)
+    for part in range(parts):
+        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
+        yield benchmark.sparkSession.sparkContext.broadcast(Benchmark([tuple(r) for r in own.distinct().orderBy("item_id", "text").collect()]))
 
-    Null and empty texts and items match nothing; of items of fewer than five words the whole is one shingle; repeated
-    rows are judged each. A document shorter than an item is one window. Ties in similarity: the first window.
+
+def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, limit: int = BENCHMARK_BYTES) -> DataFrame:
+    """One row per input row: doc_id, found: an array of (item_id, similarity, first_word, n_words), the best window of the text for each item that it matches, ascending by item within a part of the benchmark.
+
+    Null and empty texts and items, and items without an id, match nothing; of items of fewer than five words the whole is
+    one shingle; repeated rows and rows with a null doc_id are judged each. A document shorter than an item is one window.
+    Ties in similarity: the first window. Rows of one item_id with different texts are items of their own, the best of which
+    counts. Empty tables give no rows. Further columns are ignored. Nothing shuffles: rows pass the parts one after another.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null and item_id is not null")
-    kind, name = to_arrow_type(rows.schema["doc_id"].dataType), rows.schema["doc_id"].dataType.simpleString()
-    out = None
-    parts = _parts(items, limit)
-    for part in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
-        shared = spark.sparkContext.broadcast(Benchmark([tuple(r) for r in own.distinct().orderBy("item_id", "text").collect()]))
+    item = benchmark.schema["item_id"].dataType
+    entry = f"array<struct<item_id: {item.simpleString()}, similarity: double, first_word: bigint, n_words: bigint>>"
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.array().cast(entry).alias("found"))
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string, found {entry}"
+    arrow = to_arrow_type(rows.schema["found"].dataType)
+    for shared in _benchmarks(benchmark, limit):
 
         def scan(batches, shared=shared):
             import pyarrow as pa
 
             bench = shared.value
             for b in batches:
-                found = []
-                for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    found += [(key, *x) for x in bench.scan(text or "", percent)]
-                if found:
-                    kinds = (kind, pa.int64(), pa.float64(), pa.int64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], ["doc_id", "item_id", "similarity", "first_word", "n_words"])
+                for start, texts in text_slices(b.column(1)):
+                    some = b.slice(start, len(texts))
+                    found = [had + [dict(zip(("item_id", "similarity", "first_word", "n_words"), x, strict=True)) for x in bench.scan(t, percent)] for had, t in zip(some.column(2).to_pylist(), texts, strict=True)]
+                    yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(found, arrow)], ["doc_id", "text", "found"])
 
-        got = rows.mapInArrow(scan, f"doc_id {name}, item_id long, similarity double, first_word long, n_words long")
-        out = got if out is None else out.unionByName(got)
-    return out
+        rows = rows.mapInArrow(scan, schema)
+    return rows.select("doc_id", "found")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, limit: int = BENCHMARK_BYTES) -> DataFrame:
+    """doc_id, item_id, similarity, first_word, n_words: a row for each entry of `judge`."""
+    return judge(docs, benchmark, id_col, text_col, percent, limit).select("doc_id", F.inline("found"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """docs without the rows that match an item; all columns stay. Judged row by row, so repeated and null ids do no harm."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null and item_id is not null")
-    parts = _parts(items, BENCHMARK_BYTES)
-    for part in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
-        shared = docs.sparkSession.sparkContext.broadcast(Benchmark([tuple(r) for r in own.distinct().orderBy("item_id", "text").collect()]))
+    for shared in _benchmarks(benchmark, BENCHMARK_BYTES):
 
         def keep(batches, shared=shared):
             import pyarrow as pa
 
             bench = shared.value
             for b in batches:
-                column = b.schema.names.index(text_col)
-                yield b.filter(pa.array([not bench.scan(t or "", percent) for t in b.column(column).to_pylist()], pa.bool_()))
+                for start, texts in text_slices(b.column(b.schema.names.index(text_col))):
+                    yield b.slice(start, len(texts)).filter(pa.array([not bench.scan(t, percent) for t in texts], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs

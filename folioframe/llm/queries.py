@@ -107,11 +107,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_decontamination")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its leaks: doc_id, n_items, item_ids (ascending), best similarity; documents without any have none."""
-    docs = table(spark, sf_dir, "documents")
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    found = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("similarity").alias("similarity"))
-    joined = docs.select("doc_id").join(found, "doc_id", "left")
-    return joined.select("doc_id", F.coalesce(F.size("item_ids"), F.lit(0)).alias("n_items"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"), F.col("item_ids").isNotNull().alias("leaked"))
+    found = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct("found.item_id"))
+    return found.select("doc_id", F.size(items).alias("n_items"), items.alias("item_ids"), F.coalesce(F.array_max("found.similarity"), F.lit(0.0)).alias("similarity"), (F.size("found") > 0).alias("leaked"))
 
 
 @query(
