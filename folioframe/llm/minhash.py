@@ -26,6 +26,7 @@ from .common import connected_components, rows_of, spool
 ROWS, BANDS = 6, 40  # a pair at 0.85 shares no band with probability 6e-9, at 0.8 with 6e-6
 WORDS_KEPT = 400_000  # word hashes that a worker keeps
 BROADCAST_IDS = 400_000  # 8 bytes each; with more ids the texts shuffle
+PART = 256
 LACKS, HAS = 4, 3  # 64-bit words of the bitmaps of what a set lacks of its pivot's and has besides it
 
 _U = np.uint64
@@ -206,9 +207,13 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     own = own.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = own.groupBy("pivot").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("pivot")
     open_ = spool(own.join(mixed, "pivot"), "open")
-    x, y = (open_.select("pivot", *_sides(s)) for s in "ab")
+    # the members of a pivot are dealt into parts of about PART, each of which meets all others: no task has them all
+    parts = open_.groupBy("pivot").agg((F.count("*") / PART).cast("int").alias("last")).filter("last > 0")
+    dealt = open_.join(parts, "pivot", "left").withColumn("last", F.coalesce("last", F.lit(0)))
+    x = dealt.select("pivot", F.pmod(F.xxhash64("node"), F.col("last") + 1).cast("int").alias("part"), *_sides("a"))
+    y = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("last")))).select("pivot", "part", *_sides("b"))
     can = (100 + percent) * _reach() >= percent * (F.col("n_a") + F.col("n_b"))
-    pairs = x.join(y, "pivot").filter("node_a < node_b and component_a <> component_b").filter(near(F.col("n_a"), F.col("n_b"))).filter(can)
+    pairs = x.join(y, ["pivot", "part"]).filter("node_a < node_b and component_a <> component_b").filter(near(F.col("n_a"), F.col("n_b"))).filter(can)
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = spool(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
