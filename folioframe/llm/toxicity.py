@@ -32,7 +32,7 @@ WINDOW = 12
 EXCESS = 3.0
 DISCOUNTS = (1.0, 1.6, 1.8)
 SHARED = 1  # strings of up to so many bytes of context have the counts of both classes
-WORDS_KEPT = 250_000  # of at most LONGEST bytes, with 16 bytes of figures
+WORDS_KEPT = 450_000  # of at most LONGEST bytes, with 16 bytes of figures
 LONGEST = 64
 CHARS = 2_000_000  # judged at once
 THRESHOLD = 0.3
@@ -56,7 +56,7 @@ class KneserNey:
                 longer = raw.keys[k + 1]
                 fresh = np.zeros_like(n)
                 np.add.at(fresh, Model._find(raw.keys[k], longer & np.uint64((1 << (8 * (k + 1))) - 1)), raw.n[k + 1][:-1] > 0)
-                begins = np.append((raw.keys[k] >> np.uint64(8 * k)) == 32, False)
+                begins = np.append((raw.keys[k] >> np.uint64(8 * k)) == 32, False) & (k > 0)  # a single blank ends one
                 n = np.where(begins[:, None], n, np.maximum(fresh, n > 0))
                 n[-1] = 0
             if k <= SHARED:
