@@ -119,11 +119,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
       select doc_id, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents
     ), t as (select doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13)) as line from l),
     e as (select *, length(line) >= 12 and row_number() over (partition by line order by doc_id, pos) > 1 as equal from t),
-    u as (select doc_id, pos, line, length(line) as size from e where not equal and length(line) >= 24),
+    u as (select doc_id, pos, line, length(line) as size, length(replace(line, 'e', '')) as e, length(replace(line, 't', '')) as t, length(replace(line, 'a', '')) as a,
+                 length(replace(line, 'n', '')) as n, length(replace(line, 'o', '')) as o from e where not equal and length(line) >= 24),
     n as (select distinct b.doc_id, b.pos from u a join u b
-          on b.size between a.size - 1 and a.size + 1 and (a.doc_id, a.pos) < (b.doc_id, b.pos)
-             and (a.line[:a.size // 2] = b.line[:a.size // 2] or a.line[-(a.size - a.size // 2 - 1):] = b.line[-(a.size - a.size // 2 - 1):])
-          where levenshtein(a.line, b.line) <= 1),
+          on b.size between a.size - 2 and a.size + 2 and abs(a.e - b.e) <= 2 and abs(a.t - b.t) <= 2 and abs(a.a - b.a) <= 2 and abs(a.n - b.n) <= 2 and abs(a.o - b.o) <= 2
+             and (a.doc_id, a.pos) < (b.doc_id, b.pos)
+          where levenshtein(a.line, b.line) <= case when least(a.size, b.size) >= 48 then 2 else 1 end),
     f as (select e.*, n.pos is not null as near from e left join n on e.doc_id = n.doc_id and e.pos = n.pos),
     g as (select doc_id, count(*) as n_lines, count_if(equal) as n_equal, count_if(near) as n_near,
                  coalesce(string_agg(raw, chr(10) order by pos) filter (not equal and not near), '') as text from f group by doc_id)

@@ -121,9 +121,10 @@ def distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("edits", [line_dedup.EDITS, ((24, 1), (30, 3), (40, 4))])
-def test_lines_by_length(spark, edits):
-    """Edits that grow with the length, around the lengths where they change, with ids that repeat and are null."""
+@pytest.mark.parametrize("edits, hot", [(line_dedup.EDITS, 50), (((24, 1), (30, 3), (40, 4)), 50), (((24, 1), (30, 3), (40, 4)), 0)])
+def test_lines_by_length(spark, monkeypatch, edits, hot):
+    """Edits that grow with the length, around the lengths where they change, with ids that repeat and are null; all lines hot or none."""
+    monkeypatch.setattr(line_dedup, "HOT", hot)
     rng = random.Random(17)
     base = ["".join(rng.choice("abcdefgh é") for _ in range(n)).strip().ljust(n, "z") for n in (23, 24, 25, 29, 30, 31, 39, 40, 41, 46, 47, 48, 49, 50, 60)]
     docs = []
