@@ -77,3 +77,73 @@ def failures(questions: DataFrame, start_table: DataFrame, blocks: DataFrame) ->
     hit = contained(later, blocks).select("question").distinct().withColumn("hit", F.lit(True))
     reason = F.when(F.col("text") == "", "SOLUTION_BLEED").when(F.col("hit"), "OCR_CONTENT_VARIATION").otherwise("ALIGNMENT_ALGORITHM_LIMIT")
     return lost.join(hit, "question", "left").select("question", reason.alias("reason"))
+
+
+def units_of(evidence: DataFrame) -> DataFrame:
+    """(units: an array of structs with unit_id and raw_text) -> unit_id, text; of a repeated id the last one."""
+    each = evidence.select(F.posexplode("units").alias("k", "u")).filter("u.unit_id is not null")
+    return each.groupBy(F.col("u.unit_id").alias("unit_id")).agg(F.max_by(F.coalesce("u.raw_text", F.lit("")), "k").alias("text"))
+
+
+def statements(questions: DataFrame, units: DataFrame) -> DataFrame:
+    """questions (question, parts: an array of structs unit_id, start, end, join_before) -> question, statement: the units' slices, separated as the parts after the first say.
+
+    Parts of unknown units and empty slices are left out; a question of which nothing is left has an empty statement.
+    """
+    parts = questions.select("question", F.posexplode("parts").alias("k", "p")).select("question", "k", "p.*")
+    start, end = F.coalesce("start", F.lit(0)), F.coalesce("end", F.lit(0))
+    parts = parts.join(units, "unit_id").filter((F.col("text") != "") & (end > start))
+    between = F.when(F.col("join_before") == "linebreak", "\n").when(F.col("join_before") == "paragraph", "\n\n").when(F.col("join_before") == "space", " ").otherwise("")
+    cut = F.substring("text", start + 1, end - start)
+    own = parts.groupBy("question").agg(F.array_sort(F.collect_list(F.struct("k", between.alias("sep"), cut.alias("cut")))).alias("own"))
+    joined = F.concat(F.col("own")[0]["cut"], F.array_join(F.transform(F.slice("own", F.lit(2), F.greatest(F.size("own") - 1, F.lit(0))), lambda x: F.concat(x["sep"], x["cut"])), ""))
+    return questions.select("question").distinct().join(own, "question", "left").select("question", F.coalesce(joined, F.lit("")).alias("statement"))
+
+
+def starts_in_order(questions: DataFrame, blocks: DataFrame, cutoff: bool = False) -> DataFrame:
+    """As `starts`, but a document's questions, in the order of their names, begin where the one before begins or later, and with cutoff before the answers begin where that is beyond. A document's hits are folded in one row."""
+    hits = contained(probes(questions), blocks).groupBy("doc", "question").agg(F.collect_list(F.struct("rank", "pos")).alias("hits"))
+    own = hits.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("question", "hits"))).alias("asked"))
+    own = own.join(zone_start(blocks), "doc") if cutoff else own.withColumn("zone_start", F.lit(1 << 30))
+    found = own.schema["asked"].dataType.elementType["question"].dataType.simpleString()
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<question:{found},rank:int,start:int>>").alias("found"))
+
+    def step(s, x):
+        upper = F.when(F.col("zone_start") > s["at"], F.col("zone_start")).otherwise(F.lit(1 << 30))
+        best = F.array_min(F.filter(x["hits"], lambda h: (h["pos"] >= s["at"]) & (h["pos"] < upper)))
+        row = F.struct(x["question"].alias("question"), best["rank"].alias("rank"), best["pos"].cast("int").alias("start"))
+        return F.when(best.isNull(), s).otherwise(F.struct(best["pos"].cast("int").alias("at"), F.concat(s["found"], F.array(row)).alias("found")))
+
+    out = own.select("doc", F.explode(F.aggregate("asked", start, step)["found"]).alias("f"))
+    return out.select("f.question", "doc", "f.start", F.when(F.col("f.rank") == 0, "exact").otherwise("approximate").alias("confidence"))
+
+
+def document_report(span_table: DataFrame, blocks: DataFrame) -> DataFrame:
+    """doc, aligned, exact, approximate, span_p50, span_p90, span_max, single, within_3, within_5, within_7, cross_page, same_block of `spans`' rows (that keep start, next_start, span, confidence)."""
+    from .stats import nearest_rank
+
+    pages = blocks.select("doc", F.col("pos"), "page_seq")
+    page = lambda name, at: pages.select("doc", F.col("pos").alias(at), F.col("page_seq").alias(name))
+    own = span_table.withColumn("last", F.greatest(F.col("next_start") - 1, F.col("start"))).join(page("first_page", "start"), ["doc", "start"], "left").join(page("last_page", "last"), ["doc", "last"], "left")
+    count = lambda c, name: F.count_if(F.coalesce(c, F.lit(False))).alias(name)
+    out = own.groupBy("doc").agg(
+        F.count("*").alias("aligned"), count(F.col("confidence") == "exact", "exact"), count(F.col("confidence") != "exact", "approximate"), F.collect_list("span").alias("_spans"), F.max("span").alias("span_max"), count(F.col("span") == 1, "single"),
+        *[count(F.col("span") <= k, f"within_{k}") for k in (3, 5, 7)], count(F.col("last_page") > F.col("first_page"), "cross_page"), count(F.col("next_start") == F.col("start"), "same_block"),
+    )
+    return out.select("doc", "aligned", "exact", "approximate", nearest_rank(F.col("_spans"), 0.5).alias("span_p50"), nearest_rank(F.col("_spans"), 0.9).alias("span_p90"), "span_max", "single", "within_3", "within_5", "within_7", "cross_page", "same_block")
+
+
+def corpus_report(questions: DataFrame, span_table: DataFrame, reports: DataFrame) -> DataFrame:
+    """One row: documents, questions, aligned questions, lost ones, spans and the shares within 3, 5 and 7 blocks (4 digits), mean (2) and greatest span."""
+    ratio = lambda k: F.round(F.sum(f"within_{k}") / F.sum("aligned"), 4).alias(f"within_{k}_ratio")
+    totals = reports.agg(F.count("*").alias("documents"), F.sum("aligned").alias("spans"), F.sum("cross_page").alias("cross_page"), F.sum("same_block").alias("same_block"), *[ratio(k) for k in (3, 5, 7)])
+    found = span_table.agg(F.count_distinct("question").alias("aligned"), F.round(F.avg("span"), 2).alias("span_mean"), F.max("span").alias("span_max"))
+    asked = questions.agg(F.count_distinct("question").alias("questions"))
+    one = totals.crossJoin(F.broadcast(found)).crossJoin(F.broadcast(asked))  # one row each
+    return one.withColumn("lost", F.col("questions") - F.col("aligned"))
+
+
+def anomaly_report(failure_table: DataFrame, long_table: DataFrame) -> DataFrame:
+    """kind, reason, n of `failures` and `long_spans`, most first."""
+    rows = failure_table.select(F.lit("alignment_failure").alias("kind"), "reason").unionAll(long_table.select(F.lit("long_span").alias("kind"), "reason"))
+    return rows.groupBy("kind", "reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind", "reason")

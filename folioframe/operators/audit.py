@@ -58,3 +58,12 @@ def sample(diffs: DataFrame, quotas: dict[str, int] = QUOTAS) -> DataFrame:
     ranked = diffs.withColumn("rank", rank).filter(F.col("rank") <= sum(quotas.values()))
     limit = quota[F.col("bucket")] + F.when(F.col("bucket") == "HIGH_RISK", F.col("spill")).otherwise(0)
     return ranked.join(F.broadcast(spill)).filter(F.col("rank") <= limit).drop("spill")  # one row
+
+
+def collect(view: DataFrame, shown: int = 300) -> tuple[DataFrame, DataFrame]:
+    """view (doc, block_ref, content, profile, status, normalized_content, diagnostic) -> changes (doc, block_ref, bucket, distance, gain, raw, new) of blocks of text, and fatals (doc, block_ref, diagnostic, raw); texts are shown up to `shown` characters, buckets and distances are of the whole ones."""
+    raw, new = F.coalesce("content", F.lit("")), F.coalesce("normalized_content", F.lit(""))
+    cut = lambda c: F.left(c, F.lit(shown))
+    changed = view.filter((F.col("profile") == "text_math") & (F.col("status") == "changed"))
+    changes = changed.select("doc", "block_ref", classify(raw, new).alias("bucket"), distance(raw, new).alias("distance"), numeric_wrap_gain(raw, new).alias("gain"), cut(raw).alias("raw"), cut(new).alias("new"))
+    return changes, view.filter("status = 'fatal'").select("doc", "block_ref", "diagnostic", cut(raw).alias("raw"))

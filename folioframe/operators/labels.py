@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-# fixed values: the closed vocabularies and schema name of predictions
-PREDICTION_SCHEMA = "md-prework/semantic-prediction/v1"
+PREDICTION_SCHEMA = "folioframe/prediction/v1"
+# fixed values: the closed vocabularies of predictions
 ROLES = ("PROBLEM_START", "PROBLEM_CONTINUATION", "SOLUTION_START", "SOLUTION_CONTINUATION", "SHARED_CONTEXT", "NON_PROBLEM", "UNCERTAIN")
 RELATIONS = ("SAME_PROBLEM", "NEW_PROBLEM", "NOT_RELATED", "UNCERTAIN")
 UNCERTAIN_KINDS = ("ROLE", "BOUNDARY", "SPLIT")
@@ -65,8 +65,8 @@ def predictions(roles: DataFrame) -> DataFrame:
     )
 
 
-def validation_error(prediction: Column, window_id: Column, refs: Column) -> Column:
-    """The first rule that a prediction breaks, or null. An invalid prediction stays a row."""
+def validation_error(prediction: Column, window_id: Column, refs: Column, schema: str = PREDICTION_SCHEMA) -> Column:
+    """The first rule that a prediction breaks, or null; schema is the name that it must give. An invalid prediction stays a row."""
     p = prediction
     roles, own = p["roles"], F.transform(p["roles"], lambda r: r["block_ref"])
     outside = lambda a: F.exists(a, lambda x: ~F.array_contains(refs, x))
@@ -77,7 +77,7 @@ def validation_error(prediction: Column, window_id: Column, refs: Column) -> Col
     known = lambda x, values: F.coalesce(x.isin(*values), F.lit(False))
     yes = lambda c: F.coalesce(c, F.lit(False))
     return (
-        F.when(~yes(p["schema"] == PREDICTION_SCHEMA), "schema")
+        F.when(~yes(p["schema"] == schema), "schema")
         .when(~yes(p["window_id"] == window_id), "window_id")
         .when(F.coalesce(n, F.lit(0)) <= 0, "empty_window")
         .when(roles.isNull() | (F.size(roles) <= 0), "roles_empty")

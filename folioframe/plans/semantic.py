@@ -162,12 +162,14 @@ def q_splits(spark, d):
     "question_numbers",
     sql(
         "blocks",
-        then=r"""select doc, pos, regexp_extract(left(trim(content, ' '), 40), '^([0-9]{1,3})[ ]*[.、]', 1) as number from blocks
+        then=r"""select doc, pos, regexp_extract(left(trim(content, ' '), 40), '^([0-9]{1,3})[ ]*[.、]', 1) as number from (select doc, pos, case pos % 3 when 0 then (pos % 1200) || '. ' || content when 1 then (pos % 9) || ' 、' || content else content end as content from blocks)
              where regexp_matches(left(trim(content, ' '), 40), '^([0-9]{1,3})[ ]*[.、]')""",
     ),
 )
 def q_numbers(spark, d):
-    own = blocks(table(spark, d, "documents")).withColumn("number", assemble.question_number(F.col("content")))
+    """Lines of documents, two of three with a number in front."""
+    content = F.expr("case pos % 3 when 0 then (pos % 1200) || '. ' || content when 1 then (pos % 9) || ' 、' || content else content end")
+    own = blocks(table(spark, d, "documents")).withColumn("number", assemble.question_number(content))
     return own.filter("number is not null").select("doc", "pos", "number.number")
 
 
@@ -238,16 +240,18 @@ def q_decided(spark, d):
     return gates.decided(_turns(spark, d), reconcile.roles(_labelled(spark, d)))
 
 
-@query("silent_loss", sql("assigned", then="select doc, block_ref from assigned where fate is null"))
+@query("silent_loss", sql("assigned", then="select doc, block_ref from assigned where pos % 11 = 5"))
 def q_loss(spark, d):
-    own = _assigned(spark, d)
+    """What an assembly that forgets every eleventh block leaves out: the gate must name those and no others."""
+    own = _assigned(spark, d).filter("pos % 11 <> 5")
     return gates.silent_loss(_turns(spark, d), assemble.candidate_refs(own), assemble.excluded(own), assemble.diagnostics(own))
 
 
 def _report(spark, d) -> DataFrame:
     stream, labelled, own = _turns(spark, d), _labelled(spark, d), _assigned(spark, d)
     role_table, edge_table = reconcile.roles(labelled), reconcile.boundaries(labels.boundaries(labelled))
-    lost = gates.silent_loss(stream, assemble.candidate_refs(own), assemble.excluded(own), assemble.diagnostics(own))
+    told = own.filter("pos % 97 <> 5")  # a forgetful assembly, so that the gate has something to find
+    lost = gates.silent_loss(stream, assemble.candidate_refs(told), assemble.excluded(told), assemble.diagnostics(told))
     count = lambda df, name: df.groupBy("doc").agg(F.count("*").alias(name))
     out = stream.groupBy("doc").agg(F.count("*").alias("blocks"))
     parts = [
@@ -264,7 +268,8 @@ PER_DOC = sql(
     then="""
     , per as (select doc, count(*) as blocks, (select count(*) from windows w where w.doc = t.doc) as windows,
              (select count(*) from roles r where r.doc = t.doc and conflict) as role_conflicts, (select count(*) from edges e where e.doc = t.doc and conflict) as boundary_conflicts,
-             (select cast(max(candidate) as bigint) from assigned a where a.doc = t.doc) as candidates, cast(0 as bigint) as silent_loss, true as coverage_complete, true as hard_gates_passed from turns t group by doc)
+             (select cast(max(candidate) as bigint) from assigned a where a.doc = t.doc) as candidates, cast(count_if(pos % 97 = 5) as bigint) as silent_loss, count(*) = (select count(distinct pos) from members m where m.doc = t.doc) as coverage_complete,
+             count(*) = (select count(distinct pos) from members m where m.doc = t.doc) and count_if(pos % 97 = 5) = 0 as hard_gates_passed from turns t group by doc)
     """,
 )
 
