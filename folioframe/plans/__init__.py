@@ -1,6 +1,6 @@
 """Named queries over the plain tables, and their SQL."""
 
-from . import producing, semantic, structural  # noqa: F401
+from . import normalizing, producing, semantic, structural  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -146,13 +146,13 @@ def q_redact(spark, d):
 
 @query(
     "secret_candidates",
-    r"""select doc_id, word from (select doc_id, case when length(w) >= 9 then upper(left(w, 1)) || '9' || w || sha256(w) when length(w) = 8 then w || sha256(w) else w end as word from (select doc_id, unnest(string_split_regex(text, '\s+')) as w from documents))
+    r"""select doc_id, word from (select doc_id, case when length(w) >= 9 then 'K9' || w || sha256(w) when length(w) = 8 then w || sha256(w) else w end as word from (select doc_id, unnest(string_split_regex(text, '\s+')) as w from documents))
         where length(word) >= 32 and regexp_matches(word, '[A-Za-z0-9_-]{32,}') and regexp_matches(word, '[A-Z]') and regexp_matches(word, '[a-z]') and regexp_matches(word, '[0-9]')""",
 )
 def q_secret(spark, d):
-    """Words, the long ones made to look like keys: with an upper-case letter, or, at eight characters, only if they have one."""
+    """Words, the long ones made to look like keys: with an upper-case letter and a digit, or, at eight characters, only what they have."""
     w, size = F.col("w"), F.length("w")
-    word = F.when(size >= 9, F.concat(F.upper(F.left(w, F.lit(1))), F.lit("9"), w, F.sha2("w", 256))).when(size == 8, F.concat(w, F.sha2("w", 256))).otherwise(w)
+    word = F.when(size >= 9, F.concat(F.lit("K9"), w, F.sha2("w", 256))).when(size == 8, F.concat(w, F.sha2("w", 256))).otherwise(w)
     words = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", r"\s+")).alias("w")).select("doc_id", word.alias("word"))
     return words.filter(T.looks_secret(F.col("word")))
 
