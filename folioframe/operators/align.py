@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 PROBES = (40, 28, 20, 14)
-GRAM = 6
+GRAM, STRIDE = 6, 7
 MARKERS = ("参考答案", "答案", "解析", "解答", "解：", "证明")
 
 
@@ -26,16 +26,25 @@ def probes(questions: DataFrame) -> DataFrame:
 def contained(probe_table: DataFrame, blocks: DataFrame) -> DataFrame:
     """(question, rank, probe) with each block (doc, pos, content) that contains the probe.
 
-    An equi-join instead of a nested loop: a block that contains a probe contains the probe's rarest piece of its first
-    GRAM characters at some place, so the blocks' distinct pieces meet the probes' first ones and containment is checked on those.
+    An equi-join instead of a nested loop, on hashed pieces of GRAM characters: of a block those at every STRIDE-th place, of a
+    probe those at its first STRIDE places. A probe of GRAM + STRIDE - 1 characters or more that a block contains covers one of
+    the block's places, so they meet; containment is checked on what meets. Shorter probes, if there are any, meet the pieces at
+    all places of the blocks. A block's text goes with its pieces only past a semi-join with the probes' pieces.
     """
-    own = blocks.withColumn("squeezed", squeeze(F.coalesce("content", F.lit("")))).filter(F.length("squeezed") >= GRAM)
-    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("squeezed") - GRAM + 1), lambda i: F.xxhash64(F.substring("squeezed", i, F.lit(GRAM)))))
-    heads = probe_table.withColumn("head", F.xxhash64(F.left("probe", F.lit(GRAM))))
-    known = heads.select("head").distinct()
-    cut = own.select("doc", "pos", F.explode(pieces).alias("head")).join(known, "head", "left_semi")
-    met = cut.join(heads, "head").join(own.select("doc", "pos", "squeezed"), ["doc", "pos"])
-    return met.filter(F.contains("squeezed", F.col("probe"))).select("question", "rank", "doc", "pos").distinct()
+    own = blocks.withColumn("squeezed", squeeze(F.coalesce("content", F.lit("")))).filter(F.length("squeezed") >= GRAM).select("doc", "pos", "squeezed")
+    short = F.length("probe") < GRAM + STRIDE - 1
+
+    def met(probes_: DataFrame, stride: int) -> DataFrame:
+        heads = probes_.withColumn("piece", F.explode(F.sequence(F.lit(1), F.lit(stride)))).withColumn("piece", F.xxhash64(F.substring("probe", F.col("piece"), F.lit(GRAM))))
+        pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("squeezed") - GRAM + 1, F.lit(stride)), lambda i: F.xxhash64(F.substring("squeezed", i, F.lit(GRAM)))))
+        cut = own.select("doc", "pos", F.explode(pieces).alias("piece")).join(heads.select("piece").distinct(), "piece", "left_semi")
+        pairs = cut.join(heads, "piece").select("question", "rank", "probe", "doc", "pos").distinct()
+        return pairs.join(own, ["doc", "pos"]).filter(F.contains("squeezed", F.col("probe"))).select("question", "rank", "doc", "pos")
+
+    found = met(probe_table.filter(~short), STRIDE)
+    if probe_table.filter(short).limit(1).count():
+        found = found.unionByName(met(probe_table.filter(short), 1))
+    return found.distinct()
 
 
 def starts(questions: DataFrame, blocks: DataFrame) -> DataFrame:
