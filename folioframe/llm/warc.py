@@ -124,7 +124,7 @@ def members(file, chunk: int = CHUNK) -> Iterator[Iterator[bytes]]:
 
 
 def records(file, chunk: int = CHUNK) -> Iterator[dict]:
-    """Headers of each record with its payload's length, digest and the payload itself, verified."""
+    """Headers of each record with the payload (a view of the record's bytes, which are held once) and its digest, verified."""
     for pieces in members(file, chunk):
         buffer = b""
         for piece in pieces:
@@ -143,10 +143,11 @@ def records(file, chunk: int = CHUNK) -> Iterator[dict]:
             body += piece
         if len(body) != length + 4 or body[length:] != b"\r\n\r\n":
             raise WarcError(f"record of {len(body) - 4} bytes where {length} were told")
-        block = bytes(body[:length])
-        if (told := headers.get("warc-block-digest", "").removeprefix("sha1:")) and told != hashlib.sha1(block).hexdigest():
+        block = memoryview(body)[:length]
+        if headers.get("warc-block-digest", "") != f"sha1:{hashlib.sha1(block).hexdigest()}":
             raise WarcError("block digest differs")
-        payload = block.partition(b"\r\n\r\n")[2]
+        begin = body.find(b"\r\n\r\n", 0, length)
+        payload = block[begin + 4 if begin >= 0 else length :]
         digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
         if headers.get("warc-type") == "response" and digest != hashlib.sha1(payload).hexdigest():
             raise WarcError("payload digest differs")
@@ -179,9 +180,10 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                     for r in records(file):
                         h = r["headers"]
                         number = lambda k, h=h: int(h[k]) if h.get(k) else None
-                        rows.append((number("x-page-id"), number("x-payload-length"), r["digest"], h["warc-type"], number("x-refers-to-page-id"), h.get("warc-target-uri")))
+                        size = number("x-payload-length") if h["warc-type"] == "revisit" else len(r["payload"])  # a revisit holds no payload
+                        rows.append((number("x-page-id"), size, r["digest"], h["warc-type"], number("x-refers-to-page-id"), h.get("warc-target-uri")))
                         if with_payload:
-                            rows[-1] += (r["payload"] if h["warc-type"] == "response" else None,)
+                            rows[-1] += (bytes(r["payload"]) if h["warc-type"] == "response" else None,)
                             held += len(r["payload"])
                         if len(rows) >= 10000 or held > 1 << 24:
                             yield batch(rows)
