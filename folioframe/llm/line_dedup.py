@@ -214,7 +214,7 @@ def near_lines(lines: DataFrame, docs: DataFrame, edits=EDITS) -> DataFrame:
     both = both.withColumn("allowed", _allowed(F.least(F.length("line_a"), F.length("line_b")), edits))
     # few bytes but long work: not to be gathered in a few partitions
     both = both.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    both = _middles(both, "line_a", "line_b").filter(may_begin_alike(F.col("line_a"), F.col("line_b"), most))
+    both = _middles(both, "line_a", "line_b").filter(may_begin_alike(F.col("line_a"), F.col("line_b"), most)).filter(may_begin_alike(F.reverse("line_a"), F.reverse("line_b"), most))
     both = both.withColumn("distance", within_edits(F.col("line_a"), F.col("line_b"), most)).filter(F.col("distance") <= F.col("allowed"))
     return both.select("row_a", "pos_a", "row_b", "pos_b", "distance")
 
