@@ -59,19 +59,19 @@ def _strings(words: list[bytes], order: int):
 class Model:
     """Frozen counts of all languages: for each length the sorted packed strings, with their counts as (context, byte), and as contexts the followers' total and number."""
 
-    def __init__(self, counted, langs: list[str], order: int):
-        """counted: arrays (lang, k, gram, n), k + 1 being the gram's bytes."""
+    def __init__(self, counted, langs: list[str], order: int, totals: bool = True):
+        """counted: arrays (lang, k, gram, n), k + 1 being the gram's bytes. Without totals only the strings' own counts are kept."""
         self.langs, self.order, self.keys, self.n, self.total, self.kinds = langs, order, [], [], [], []
         lang, length, gram, n = counted
         gram = gram.astype(np.uint64)
         for k in range(order + 1):
             own = length == k
             keys = np.unique(gram[own])
-            table = np.zeros((len(keys) + 1, len(langs)))
+            table = np.zeros((len(keys) + 1, len(langs)), np.float64 if totals else np.float32)
             np.add.at(table, (np.searchsorted(keys, gram[own]), lang[own]), n[own])
             self.keys.append(keys)
             self.n.append(table)
-        for k in range(order + 1):  # what follows each context of k bytes
+        for k in range(order + 1 if totals else 0):  # what follows each context of k bytes
             keys = self.keys[k - 1] if k else np.zeros(1, np.uint64)
             total, kinds = np.zeros((len(keys) + 1, len(langs))), np.zeros((len(keys) + 1, len(langs)))
             at = self._find(keys, self.keys[k] >> np.uint64(8)) if k else np.zeros(len(self.keys[k]), np.int64)

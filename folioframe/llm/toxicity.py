@@ -32,9 +32,9 @@ WINDOW = 12
 EXCESS = 3.0
 DISCOUNTS = (1.0, 1.6, 1.8)
 SHARED = 1  # strings of up to so many bytes of context have the counts of both classes
-WORDS_KEPT = 450_000  # of at most LONGEST bytes, with 16 bytes of figures
+WORDS_KEPT = 250_000  # of at most LONGEST bytes, with 16 bytes of figures
 LONGEST = 64
-CHARS = 2_000_000  # judged at once
+CHARS = 1_500_000  # judged at once
 THRESHOLD = 0.3
 FEATURES = 7
 
@@ -47,11 +47,11 @@ class KneserNey:
     """Frozen models of the classes 0 (ordinary) and 1 (toxic)."""
 
     def __init__(self, counted, order: int = ORDER):
-        raw = Model(counted, ["0", "1"], order)
+        raw = Model(counted, ["0", "1"], order, totals=False)
         self.order, self.keys, self.n, self.left = order, [], [], []
         owns, wholes, shares = [], [], []
         for k in range(order + 1):
-            n = raw.n[k].copy()
+            n = raw.n[k].astype(np.float64)
             if k < order:  # continuation counts; what begins a word has no byte before it and keeps its own
                 longer = raw.keys[k + 1]
                 fresh = np.zeros_like(n)
@@ -68,15 +68,18 @@ class KneserNey:
             np.add.at(taken, at, _taken(n[:-1]))
             total[-1] = taken[-1] = 0
             whole = np.maximum(total, 1)[np.append(at, len(contexts))]
-            owns.append((n - _taken(n)) / whole)
+            own = (n - _taken(n)) / whole
+            raw.n[k] = None  # what is read further on is the next longer ones'
+            # a string of which all is taken off in both classes has no share of its own: it can go without a change of any probability
+            some = (own[:-1] > 0).any(axis=1)
+            owns.append((some, np.vstack((own[:-1][some], np.zeros((1, 2))))))
             wholes.append(contexts)
             shares.append(np.where(total > 0, taken / np.maximum(total, 1), 1.0))
-        # a string of which all is taken off in both classes has no share of its own, and a context that gives all its
-        # weight away is one that was never seen: both can go without a change of any probability
+        # so can a context that gives all its weight away, as one that was never seen does
         for k in range(order + 1):
-            some = (owns[k][:-1] > 0).any(axis=1)
+            some, own = owns[k]
             self.keys.append(raw.keys[k][some])
-            self.n.append(np.vstack((owns[k][:-1][some], np.zeros((1, 2)))))
+            self.n.append(own)
             open_ = (shares[k][:-1] < 1).any(axis=1) if k else np.ones(1, bool)
             self.left.append((wholes[k][open_], np.vstack((shares[k][:-1][open_], np.ones((1, 2))))))
 
@@ -200,9 +203,8 @@ def train(labelled: DataFrame) -> Judge | None:
     sizes = {(r["class"], r["fits"]): r["n"] for r in rows.groupBy("class", "fits").agg(F.count("*").alias("n")).collect()}
     if not all(any(sizes.get((c, f)) for f in (True, False)) for c in (0, 1)):
         return None
-    final = KneserNey(count_strings(rows.select("text", "class"), ORDER, each=True))
     if not all(sizes.get((c, f)) for c in (0, 1) for f in (True, False)):  # too few to fit: the worst window alone
-        return Judge(final, (np.zeros(FEATURES), np.ones(FEATURES), np.array([0.0, 4.0, *[0.0] * (FEATURES - 2), -2.0])))
+        return Judge(KneserNey(count_strings(rows.select("text", "class"), ORDER, each=True)), (np.zeros(FEATURES), np.ones(FEATURES), np.array([0.0, 4.0, *[0.0] * (FEATURES - 2), -2.0])))
     shared = labelled.sparkSession.sparkContext.broadcast(KneserNey(count_strings(rows.filter("not fits").select("text", "class"), ORDER, each=True)))
 
     def features(batches):
@@ -213,7 +215,8 @@ def train(labelled: DataFrame) -> Judge | None:
 
     got = rows.filter("fits").select("class", "text").mapInArrow(features, "class int, x array<double>").toArrow()
     x, y = np.array(got.column("x").to_pylist()).reshape(-1, FEATURES), got.column("class").to_numpy().astype(float)
-    return Judge(final, _fit(x, y))
+    shared.destroy()  # one model at a time on the driver
+    return Judge(KneserNey(count_strings(rows.select("text", "class"), ORDER, each=True)), _fit(x, y))
 
 
 def score(docs: DataFrame, judge: Judge | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
