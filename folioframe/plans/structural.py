@@ -219,7 +219,7 @@ MARKED = """case pos % 7 when 0 then '##' when 1 then '### 解题' when 2 then '
 
 @query(
     "ocr_marks",
-    sql("blocks", then="""select doc, cast(pos + 1 as int) as line, case pos % 7 when 0 then 'R5' when 1 then 'R3' when 2 then 'R2' when 3 then 'R4' end as rule,
+    sql("blocks", then=r"""select doc, cast(pos + 1 as int) as line, case pos % 7 when 0 then 'R5' when 1 then 'R3' when 2 then 'R2' when 3 then 'R4' end as rule,
         case pos % 7 when 0 then '##' when 1 then '解题' when 2 then '题 目' when 3 then '<img src="a/header_1.png">' end as content from blocks where pos % 7 < 4
         union all select doc, cast(pos + 1 as int), 'R5', content from blocks where pos % 7 > 4 and regexp_matches(content, '^#{1,6}\s*$')"""),
 )
