@@ -89,7 +89,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.round_trip(table(spark, sf_dir, "documents"))
 
 
-@query("op8_minhash_near_dedup")
+@query(
+    "op8_minhash_near_dedup",
+    r"""
+    with recursive t as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+    ), s as (
+      select distinct doc_id, x from (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as x from t)
+    ), n as (select doc_id, count(*) as n from s group by doc_id),
+    p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+    l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+    e as (select a, b from l union all select b, a from l),
+    r as (select a as node, a as seen from e union select r.node, e.b from r join e on e.a = r.seen),
+    c as (select node, min(seen) as component from r group by node)
+    select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c.component, d.doc_id) as component_id, coalesce(c.component, d.doc_id) = d.doc_id as kept
+    from documents d left join n on n.doc_id = d.doc_id left join c on c.node = d.doc_id
+    """,
+)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"), width=3, percent=85)
 
