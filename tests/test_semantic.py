@@ -125,6 +125,10 @@ def test_simulation(spark):
 def test_structure():
     value = {"a": {"token": "x", "b": [{"c": 1}, 2]}, "u": "https://x.y", "s": "aB3" * 15}
     assert structure.key_paths(value) == ["a", "a.token", "a.b", "a.b[].c", "u", "s"]
+    deep = {"k": [[{"[]": {"": {"z": 1}}}], 2], "n": None}
+    assert structure.key_paths(deep) == ["k", "k[][].[]", "k[][].[].", "k[][].[]..z", "n"] and structure.key_paths(deep, 0) == ["k", "n"] and structure.key_paths(7) == []
+    assert structure.structure({"k": ["ab", 3], "n": 1.5}, items=0) == {"__type__": "object", "__keys__": ["k", "n"], "k": {"__type__": "array", "__len__": 2, "__item__": {"__type__": "str", "__chars__": 2}}}
+    assert structure.structure([[1]], depth=0) == {"__type__": "array", "__len__": 1, "__item__": {"__type__": "array", "__truncated__": "depth"}}
     clean = structure.scrub(value)
     assert clean["a"]["token"] == "<<redacted>>" and clean["s"] == "<<redacted:opaque>>"
     assert dict(structure.secrets(value)) == {"$.a.token": "sensitive_key", "$.u": "resource", "$.s": "secret_value"}
