@@ -147,3 +147,16 @@ def test_evidence_is_never_overwritten(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)exists"):
         evidence.write(df, str(tmp_path / "e"))
     evidence.write(df, str(tmp_path / "e"), overwrite=True)
+
+
+def test_levels_of_odd_keys(spark):
+    """Null and NaN keys are keys like others, large numbers stay as they are, a null delta changes nothing."""
+    big = (1 << 60) + 1
+    rows = [(k, s, d) for k in (None, big, big + 1) for s, d in enumerate((1, 1, None, 1, -1))]
+    got = sorted((r.key or 0, r.seq, r.level) for r in pressure.levels(spark.createDataFrame(rows, "key long, seq int, delta int")).collect())
+    assert got == [(k, s, n) for k in (0, big, big + 1) for s, n in enumerate((1, 2, 2, 3, 2))]
+    rows = [(float("nan"), s, 1) for s in range(3)] + [(None, s, 1) for s in range(3)]
+    assert sorted(r.level for r in pressure.levels(spark.createDataFrame(rows, "key double, seq int, delta int")).collect()) == [1, 1, 2, 2, 3, 3]
+    jobs = spark.createDataFrame([(None, 1, 5.0, False), (None, 2, None, None), (None, 3, 1.0, False), (big, 1, 2.0, True)], "schedule long, job long, duration double, pressure boolean")
+    got = sorted((r.schedule or 0, r.job, r.launched, r.finished) for r in pressure.simulate(jobs).collect())
+    assert got == [(0, 1, 0.0, 5.0), (0, 2, 0.0, 0.0), (0, 3, 0.0, 1.0), (big, 1, 0.0, 2.0)]
