@@ -9,8 +9,8 @@ Blank and shorter lines are never touched, nor are the other lines' characters.
 The edit join (after Li, Deng, Wang and Feng's Pass-Join, 2011) works on lines that are all different. A line of
 length l, for which e edits are allowed, is cut into e + 1 segments; a line within e edits of it, as long or longer,
 holds one of them at a place that the edits can have shifted only so far, so each line is hashed at the few places
-that fit, for each length that a shorter partner can have. What meets is filtered by letter counts (an edit changes
-two of them by one at most; no pair is lost) and verified by edit distance, bit-parallel over the diagonals of the band, of what is left without their common
+that fit, for each length that a shorter partner can have. The segments are written once: they are counted and joined.
+What meets is filtered by letter counts (an edit changes two of them by one at most; no pair is lost) and verified by edit distance, bit-parallel over the diagonals of the band, of what is left without their common
 beginning and end.
 
 Two lines that differ by one word share a half of the shorter one's words. Lines whose halves occur once are left out;
@@ -120,7 +120,7 @@ def _pieces(long: DataFrame, edits, probe: bool) -> DataFrame:
 def _letters(line: Column) -> Column:
     out = F.lit(0).cast("long")
     for k, c in enumerate(_COUNTED):
-        n = F.least(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(127)).cast("long")
+        n = F.least(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))), F.lit(127)).cast("long")
         out = out.bitwiseOR(F.shiftleft(n, 8 * k))
     return out
 
@@ -180,38 +180,37 @@ def _parities(line: Column) -> Column:
     return F.aggregate(pairs, start, lambda s, p: F.struct(flip(s["parity"], p).alias("parity"), flip(s["other"], F.shiftright(p, 20)).alias("other")))
 
 
-def _signed(long: DataFrame, docs: DataFrame, edits) -> DataFrame:
-    """Adds parity and other, for lines of which a segment is shared by more than HOT lines, else null: lines made from one template all meet, and most that differ by more edits than are allowed differ in these bits too. No pair within the edits does."""
-    own = _pieces(long, edits, False)
+def _signs(own: DataFrame, docs: DataFrame) -> DataFrame:
+    """row, pos, parity and other of lines that share one of the segments `own` with more than HOT lines: lines made from one template all meet, and most that differ by more edits than are allowed differ in these bits too. No pair within the edits does."""
     hot = spool(own.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("h"), "hot")
     some = spool(own.join(_small(hot, 16), "h", "left_semi").select("row", "pos").distinct(), "hot lines")
     texts = docs.join(_small(some), "row").select("row", "pos", _trimmed(F.get(F.split("text", "\n"), F.col("pos"))).alias("line"))
-    signs = spool(texts.select("row", "pos", _parities(F.col("line")).alias("s")).select("row", "pos", "s.parity", "s.other"), "signs")
-    return long.join(_small(signs), ["row", "pos"], "left")
+    return spool(texts.select("row", "pos", _parities(F.col("line")).alias("s")).select("row", "pos", "s.parity", "s.other"), "signs")
 
 
 def near_lines(lines: DataFrame, docs: DataFrame, edits=EDITS) -> DataFrame:
     """lines (doc_id, row, pos, line, size), all different and trimmed -> pairs (row_a, pos_a, row_b, pos_b, distance), a before b in the order of (doc_id, row, pos). docs (doc_id, row, text) has the lines' texts by number; row is unique."""
     most = max(e for _, e in edits)
     long = lines.filter(F.col("size") >= min(n for n, _ in edits))
-    long = _signed(long, docs, edits).withColumn("letters", _letters(F.col("line")))
-    index, probes = _pieces(long, edits, False), _pieces(long, edits, True)
+    own = spool(_pieces(long, edits, False), "segments")
+    signs = _small(_signs(own, docs))
+    index, probes = own.join(signs, ["row", "pos"], "left"), _pieces(long.join(signs, ["row", "pos"], "left"), edits, True)
     side = lambda df, s: df.select("h", *[F.col(c).alias(f"{c}_{s}") for c in df.columns if c != "h"])
     at = lambda s: F.struct(F.col(f"doc_id_{s}").alias("doc_id"), F.col(f"row_{s}").alias("row"), F.col(f"pos_{s}").alias("pos"))
     x, y = at("x"), at("y")
     # of two lines of one length either probes the other: once is enough
     once = (F.col("size_x") < F.col("size_y")) | (x < y)
-    apart = _letters_apart(F.col("letters_x"), F.col("letters_y"))
     allowed = _allowed(F.col("size_x"), edits)
     alike = [F.coalesce(F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) <= 4 * allowed, F.lit(True)) for c in ("parity", "other")]
-    met = side(index, "x").join(side(probes, "y"), "h").filter(once & (apart <= 2 * allowed) & alike[0] & alike[1])
+    met = side(index, "x").join(side(probes, "y"), "h").filter(once & alike[0] & alike[1])
     met = spool(met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct().select(F.col("a.row").alias("row_a"), F.col("a.pos").alias("pos_a"), F.col("b.row").alias("row_b"), F.col("b.pos").alias("pos_b")), "met")
     wanted = spool(met.select(F.col("row_a").alias("row"), F.col("pos_a").alias("pos")).union(met.select("row_b", "pos_b")).distinct(), "wanted")
     texts = docs.join(_small(wanted), "row").select("row", "pos", _trimmed(F.get(F.split("text", "\n"), F.col("pos"))).alias("line"))
-    texts = spool(texts, "lines")
-    side = lambda s: texts.select(F.col("row").alias(f"row_{s}"), F.col("pos").alias(f"pos_{s}"), F.col("line").alias(f"line_{s}"))
+    texts = spool(texts.withColumn("letters", _letters(F.col("line"))), "lines")
+    side = lambda s: texts.select(F.col("row").alias(f"row_{s}"), F.col("pos").alias(f"pos_{s}"), F.col("line").alias(f"line_{s}"), F.col("letters").alias(f"letters_{s}"))
     both = met.join(side("a"), ["row_a", "pos_a"]).join(side("b"), ["row_b", "pos_b"])
     both = both.withColumn("allowed", _allowed(F.least(F.length("line_a"), F.length("line_b")), edits))
+    both = both.filter(_letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * F.col("allowed"))
     # few bytes but long work: not to be gathered in a few partitions
     both = both.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     both = _middles(both, "line_a", "line_b").filter(may_begin_alike(F.col("line_a"), F.col("line_b"), most)).filter(may_begin_alike(F.reverse("line_a"), F.reverse("line_b"), most))
