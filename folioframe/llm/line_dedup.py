@@ -192,6 +192,7 @@ def near_lines(lines: DataFrame, docs: DataFrame, edits=EDITS) -> DataFrame:
     """lines (doc_id, row, pos, line, size), all different and trimmed -> pairs (row_a, pos_a, row_b, pos_b, distance), a before b in the order of (doc_id, row, pos). docs (doc_id, row, text) has the lines' texts by number; row is unique."""
     most = max(e for _, e in edits)
     long = lines.filter(F.col("size") >= min(n for n, _ in edits))
+    long = long.withColumn("letters", _letters(F.col("line")))
     own = spool(_pieces(long, edits, False), "segments")
     signs = _small(_signs(own, docs))
     index, probes = own.join(signs, ["row", "pos"], "left"), _pieces(long.join(signs, ["row", "pos"], "left"), edits, True)
@@ -200,17 +201,17 @@ def near_lines(lines: DataFrame, docs: DataFrame, edits=EDITS) -> DataFrame:
     x, y = at("x"), at("y")
     # of two lines of one length either probes the other: once is enough
     once = (F.col("size_x") < F.col("size_y")) | (x < y)
+    apart = _letters_apart(F.col("letters_x"), F.col("letters_y"))
     allowed = _allowed(F.col("size_x"), edits)
     alike = [F.coalesce(F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) <= 4 * allowed, F.lit(True)) for c in ("parity", "other")]
-    met = side(index, "x").join(side(probes, "y"), "h").filter(once & alike[0] & alike[1])
+    met = side(index, "x").join(side(probes, "y"), "h").filter(once & (apart <= 2 * allowed) & alike[0] & alike[1])
     met = spool(met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct().select(F.col("a.row").alias("row_a"), F.col("a.pos").alias("pos_a"), F.col("b.row").alias("row_b"), F.col("b.pos").alias("pos_b")), "met")
     wanted = spool(met.select(F.col("row_a").alias("row"), F.col("pos_a").alias("pos")).union(met.select("row_b", "pos_b")).distinct(), "wanted")
     texts = docs.join(_small(wanted), "row").select("row", "pos", _trimmed(F.get(F.split("text", "\n"), F.col("pos"))).alias("line"))
-    texts = spool(texts.withColumn("letters", _letters(F.col("line"))), "lines")
-    side = lambda s: texts.select(F.col("row").alias(f"row_{s}"), F.col("pos").alias(f"pos_{s}"), F.col("line").alias(f"line_{s}"), F.col("letters").alias(f"letters_{s}"))
+    texts = spool(texts, "lines")
+    side = lambda s: texts.select(F.col("row").alias(f"row_{s}"), F.col("pos").alias(f"pos_{s}"), F.col("line").alias(f"line_{s}"))
     both = met.join(side("a"), ["row_a", "pos_a"]).join(side("b"), ["row_b", "pos_b"])
     both = both.withColumn("allowed", _allowed(F.least(F.length("line_a"), F.length("line_b")), edits))
-    both = both.filter(_letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * F.col("allowed"))
     # few bytes but long work: not to be gathered in a few partitions
     both = both.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     both = _middles(both, "line_a", "line_b").filter(may_begin_alike(F.col("line_a"), F.col("line_b"), most)).filter(may_begin_alike(F.reverse("line_a"), F.reverse("line_b"), most))
