@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, langid, line_dedup, minhash, packing, sstable, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, fim, langid, lexicon, line_dedup, minhash, packing, resampling, sstable, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -158,3 +158,63 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As the pipeline does it: lines go too that an earlier one equals but for one word."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), words=True).select("doc_id", "n_lines", "n_equal", "n_near", "text")
+
+
+@query(
+    "op11_fill_in_middle",
+    r"""
+    with t as (
+      select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as d,
+             regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as w from documents
+    ), h as (
+      select doc_id, text, w, cast(len(w) as bigint) as n, cast('0x' || substr(d, 1, 8) as bigint) as h1, cast('0x' || substr(d, 9, 8) as bigint) as h2,
+             cast('0x' || substr(d, 17, 8) as bigint) as h3, cast('0x' || substr(d, 25, 8) as bigint) as h4 from t
+    ), f as (
+      select doc_id, text, n, case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form,
+             array_to_string(w[1 : least(h1 % (n + 1), h2 % (n + 1))], '') as p, array_to_string(w[1 + least(h1 % (n + 1), h2 % (n + 1)) : greatest(h1 % (n + 1), h2 % (n + 1))], '') as m,
+             array_to_string(w[1 + greatest(h1 % (n + 1), h2 % (n + 1)) : n], '') as s from h
+    )
+    select doc_id, n, form, case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars, case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+           sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(text) as restored_sha256
+    from f
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(table(spark, sf_dir, "documents"))
+    digest = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(fim.restore(F.col("output"), F.col("form")), 256)}
+    return out.withColumns(digest).drop("output")
+
+
+@query(
+    "op12_importance_resampling",
+    r"""
+    with k as (select 'd' as of, doc_id as id, text from documents union all select 'b', item_id, text from benchmark),
+    w as (select of, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from k),
+    g as (
+      select of, id, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]),
+                                        list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as x from w
+    ), c as (select of, id, x, count(*) as n from g group by of, id, x),
+    t as (select list_transform(generate_series(0, 255), lambda v: list_reduce(list_prepend(v, generate_series(1, 8)), lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as t),
+    u as (select x, hex(encode(x)) as z from (select distinct x from c)),
+    y as (
+      select x, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(generate_series(1, length(z) - 1, 2), lambda i: 16 * (strpos('0123456789ABCDEF', z[i]) - 1) + strpos('0123456789ABCDEF', z[i + 1]) - 1)),
+                                            lambda a, b: xor(a >> 8, t.t[1 + (xor(a, b) & 255)]))) % 10000 as bucket from u, t
+    ), b as (select bucket, sum(n) filter (of = 'd') as s, sum(n) filter (of = 'b') as t from c join y using (x) group by bucket),
+    a as (select coalesce(sum(s), 0) as s, coalesce(sum(t), 0) as t from b),
+    v as (select bucket, cast(floor(1000 * ln(cast(coalesce(b.t, 0) + 1 as double) * cast(a.s + 10000 as double) / (cast(coalesce(b.s, 0) + 1 as double) * cast(a.t + 10000 as double)))) as bigint) as gain from b, a),
+    m as (select id, sum(n) as n, sum(n * gain) as weight from c join y using (x) join v using (bucket) where of = 'd' group by id),
+    d as (
+      select id as doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+             cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('42:' || id), 1, 8) as bigint) + 0.5::double) / 4294967296::double))) as bigint) as score
+      from w left join m using (id) where of = 'd'
+    ), r as (select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as k, count(*) filter (n_words >= 20) over () as total from d)
+    select doc_id, n_features, weight, score, case when n_words >= 20 and k <= 5 * total // 100 then k end as rank, n_words from r
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_bpe_transducer")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.digests(table(spark, sf_dir, "documents"))
