@@ -22,17 +22,17 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .common import fresh_path, rows_of, spool
 from .sstable import store
 
-BLOCK = 8_000_000  # bytes of text in a block; longer texts take several
+BLOCK = 7_000_000  # bytes of text in a block; longer texts take several
 BUCKETS = 10_000
 HOT = 4096  # a word that makes up more than one in so many is hot; so there are no more of them
-LEVEL = 3  # of compression
+LEVEL = 6  # of compression
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _IN_WORD = np.zeros(256, bool)
@@ -68,6 +68,17 @@ def _split(data: bytes):
     return _strings(raw, np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends, ends)
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, ascending, the number of each key among them)."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    number = np.empty(len(keys), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    return keys[new], number
+
+
 class Features:
     """Distinct features of a block, and where they stand.
 
@@ -79,35 +90,35 @@ class Features:
         import pyarrow.compute as pc
 
         raw = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
-        word = np.concatenate(([False], _IN_WORD[raw], [False]))
-        edges = np.flatnonzero(word[1:] != word[:-1])
-        starts, ends = edges[0::2], edges[1::2]
-        found = _strings(raw, starts, ends).dictionary_encode()
+        inside = np.zeros(len(raw) + 2, bool)
+        inside[1:-1] = _IN_WORD[raw]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts = edges[0::2]
+        found = _strings(raw, starts, edges[1::2]).dictionary_encode()
         order = pc.sort_indices(found.dictionary).to_numpy()
         self.words = found.dictionary.take(pa.array(order))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         ids = rank[found.indices.to_numpy()]
-        self.doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+        doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right").astype(np.int32)
+        self.tail = [self.words[int(i)].as_py() for i in ids[-2:][doc[-2:] == len(texts) - 1]]
+        del raw, inside, edges, starts, found
         n, v = len(ids), max(1, len(order))
-        counted = np.arange(n) >= skip  # by the last word of a feature
-        two = np.flatnonzero(self.doc[1:] == self.doc[:-1]) if n > 1 else np.zeros(0, np.int64)
-        pairs, inverse = np.unique(ids[two] * v + ids[two + 1], return_inverse=True)
-        pair_at = np.full(n, -1, np.int64)
-        pair_at[two] = inverse
-        three = two[(two + 2 < n)]
-        three = three[self.doc[three + 2] == self.doc[three]]
-        triples, inverse3 = np.unique(pair_at[three] * v + ids[three + 2], return_inverse=True)
-        self.first, self.second, self.third = pairs // v, pairs % v, triples % v
-        self.prefix = triples // v  # the pair that a triple begins with
-        #: Of each order: occurrences as (feature, its document), the number of distinct features and their counts.
-        self.at = [(ids[counted], self.doc[counted])]
-        for places, which, length in ((two, inverse, 2), (three, inverse3, 3)):
-            own = counted[places + length - 1]
-            self.at.append((which[own], self.doc[places][own]))
+        two = np.flatnonzero(doc[1:] == doc[:-1]).astype(np.int32)
+        three = two[:-1][(two[1:] == two[:-1] + 1) & (doc[two[:-1]] == doc[two[1:]])]
+        pairs, pair_of = _numbered(ids[two].astype(np.int64) * v + ids[two + 1])
+        at = np.empty(n, np.int32)
+        at[two] = pair_of
+        triples, triple_of = _numbered(at[three].astype(np.int64) * v + ids[three + 2])
+        self.first, self.second, self.third = ((x).astype(np.int32) for x in (pairs // v, pairs % v, triples % v))
+        self.prefix = (triples // v).astype(np.int32)  # the pair that a triple begins with
+        #: Of each order: occurrences as (feature, its document), the number of distinct features and their counts. An occurrence counts in the block of its last word.
+        self.at = []
+        for which, places, length in ((ids, None, 1), (pair_of, two, 2), (triple_of, three, 3)):
+            last = (np.arange(n, dtype=np.int32) if places is None else places) + (length - 1)
+            self.at.append((which[last >= skip], doc[last][last >= skip]) if skip else (which, doc if places is None else doc[places]))
         self.sizes = [len(order), len(pairs), len(triples)]
         self.counts = [np.bincount(which, minlength=k).astype(np.uint32) for (which, _), k in zip(self.at, self.sizes, strict=True)]
-        self.tail = [self.words[int(i)].as_py() for i in ids[-2:][self.doc[-2:] == len(texts) - 1]] if n else []
 
     def order(self, parts: int, hot: frozenset = frozenset()) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each order: features by part, ascending in each part, and where each part's begin and the last one's end. A part is named by a feature's first word, by its first two if that word is hot."""
@@ -243,7 +254,7 @@ def _hot_words(rows: DataFrame, block_bytes: int) -> frozenset:
 
 
 def _hashed(rows: DataFrame, parts: int, hot: frozenset, block_bytes: int, return_blocks: bool = True) -> str:
-    """A table in the shared folder, by source: at -1 (bucket, n) of each part of the dictionary, at others the buckets of the features of each of its blocks."""
+    """A table in the shared folder, by source: at -1 the bucket counts of each part of the dictionary, at others the buckets of the features of each of its blocks."""
 
     def send(batches):
         import pyarrow as pa
@@ -256,39 +267,54 @@ def _hashed(rows: DataFrame, parts: int, hot: frozenset, block_bytes: int, retur
 
     def merge(table):
         import pyarrow as pa
+        import zstandard
 
         got = [received(d.as_buffer().to_pybytes()) for d in table.column("data")]
-        features = pa.concat_arrays([f for f, _ in got]).dictionary_encode()
-        at = features.indices.to_numpy()
-        distinct = features.dictionary
+        bounds, counts = np.cumsum([0, *(len(f) for f, _ in got)]), np.concatenate([c for _, c in got])
+        features = pa.concat_arrays([f for f, _ in got])
+        del got
+        features = features.dictionary_encode()
+        at, distinct = features.indices.to_numpy(), features.dictionary
         hashes = np.concatenate([np.fromiter(map(zlib.crc32, distinct.slice(i, 50_000).to_pylist()), np.int64) for i in range(0, len(distinct), 50_000)])
         bucket = hashes % BUCKETS
         n = np.zeros(BUCKETS, np.int64)
-        np.add.at(n, bucket[at], np.concatenate([c for _, c in got]))
-        used = np.flatnonzero(n)
-        names, bounds = ["source", "block", "part", "bucket", "n", "data"], np.cumsum([0, *(len(f) for f, _ in got)])
-        part = table.column("part")[0].as_py()
-        totals = pa.Table.from_arrays([pa.array([-1] * len(used), pa.int32()), pa.array([-1] * len(used), pa.int32()), pa.array([part] * len(used), pa.int32()), pa.array(used, pa.int32()), pa.array(n[used], pa.int64()), pa.nulls(len(used), pa.binary())], names)
+        np.add.at(n, bucket[at], counts)
+        names = ["source", "block", "part", "n", "data"]
+        part = table.column("part").slice(0, 1)
+        totals = pa.Table.from_arrays([pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), part, pa.array([BUCKETS], pa.int64()), pa.array([zstandard.compress(n.tobytes())], pa.binary())], names)
         if not return_blocks:
             return totals
         back = [pack(bucket[at[a:b]]) for a, b in zip(bounds, bounds[1:], strict=False)]
-        sizes = pa.array(np.diff(bounds), pa.int64())
-        return pa.concat_tables([totals, pa.Table.from_arrays([*(table.column(c).combine_chunks() for c in names[:3]), pa.nulls(len(back), pa.int32()), sizes, pa.array(back, pa.binary())], names)])
+        return pa.concat_tables([totals, pa.Table.from_arrays([*(table.column(c).combine_chunks() for c in names[:3]), pa.array(np.diff(bounds), pa.int64()), pa.array(back, pa.binary())], names)])
 
     spark = rows.sparkSession
     path = fresh_path(spark, "buckets")
     sent = rows.mapInArrow(send, "source int, block int, part int, data binary")
-    merged = sent.groupBy("part").applyInArrow(merge, "source int, block int, part int, bucket int, n long, data binary")
+    merged = sent.groupBy("part").applyInArrow(merge, "source int, block int, part int, n long, data binary")
     by_source = merged.repartition("source", F.when(F.col("source") < 0, F.col("part"))).sortWithinPartitions("source", "block")
     by_source.write.option("compression", "none").partitionBy("source").parquet(path)
     return path
 
 
-_HASHED = "block int, part int, bucket int, n long, data binary, source int"
+_HASHED = "block int, part int, n long, data binary, source int"
+
+
+def _bucket_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(bucket, n): what the parts of the dictionary counted, added up in each task and then over all."""
 
+    def add(batches):
+        import pyarrow as pa
+        import zstandard
+
+        n = np.zeros(BUCKETS, np.int64)
+        for b in batches:
+            for data in b.column(0):
+                n += np.frombuffer(zstandard.decompress(data.as_py()), np.int64)
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(n[used], pa.int64())], ["bucket", "n"])
 
-def _bucket_counts(spark, path: str) -> DataFrame:
-    return spark.read.schema(_HASHED).parquet(path).filter("source = -1").groupBy("bucket").agg(F.sum("n").alias("n"))
+    own = spark.read.schema(_HASHED).parquet(path).filter("source = -1").select("data")
+    return own.mapInArrow(add, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def _from_table(path: str, source: int):
@@ -367,7 +393,7 @@ def bucket_counts(texts: DataFrame, id_col: str = "item_id", text_col: str = "te
     return _bucket_counts(spark, _hashed(rows, parts or _parts(spark), _hot_words(rows, block_bytes), block_bytes, False))
 
 
-def _parts(spark) -> int:
+def _parts(spark: SparkSession) -> int:
     return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
