@@ -107,6 +107,10 @@ class KneserNey:
         return np.bincount(word, np.log(p[:, 1]) - np.log(p[:, 0]), len(words))
 
 
+#: Where too few rows can be fitted: the worst window alone.
+PLAIN = (np.zeros(FEATURES), np.ones(FEATURES), np.array([0.0, 4.0, *[0.0] * (FEATURES - 2), -2.0]))
+
+
 class Scorer:
     """Features of texts, each word judged once."""
 
@@ -173,6 +177,10 @@ def _features(model: KneserNey, batches):
         yield keys, scorer.features(texts)
 
 
+def _has_words(x: np.ndarray) -> np.ndarray:
+    return x[:, FEATURES - 1] > 0
+
+
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Logistic regression by Newton's method: (mean, scale, weights with the constant last)."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
@@ -193,8 +201,9 @@ class Judge:
         self.model, self.fit = model, fit
 
     def score(self, x: np.ndarray) -> np.ndarray:
+        """0 of a text without words, which is no likelier under either model."""
         mean, scale, w = self.fit
-        return 1 / (1 + np.exp(-np.clip(np.column_stack(((x - mean) / scale, np.ones(len(x)))) @ w, -30, 30)))
+        return np.where(_has_words(x), 1 / (1 + np.exp(-np.clip(np.column_stack(((x - mean) / scale, np.ones(len(x)))) @ w, -30, 30))), 0.0)
 
 
 def train(labelled: DataFrame) -> Judge | None:
@@ -203,8 +212,8 @@ def train(labelled: DataFrame) -> Judge | None:
     sizes = {(r["class"], r["fits"]): r["n"] for r in rows.groupBy("class", "fits").agg(F.count("*").alias("n")).collect()}
     if not all(any(sizes.get((c, f)) for f in (True, False)) for c in (0, 1)):
         return None
-    if not all(sizes.get((c, f)) for c in (0, 1) for f in (True, False)):  # too few to fit: the worst window alone
-        return Judge(KneserNey(count_strings(rows.select("text", "class"), ORDER, each=True)), (np.zeros(FEATURES), np.ones(FEATURES), np.array([0.0, 4.0, *[0.0] * (FEATURES - 2), -2.0])))
+    if not all(sizes.get((c, f)) for c in (0, 1) for f in (True, False)):  # too few to fit
+        return Judge(KneserNey(count_strings(rows.select("text", "class"), ORDER, each=True)), PLAIN)
     shared = labelled.sparkSession.sparkContext.broadcast(KneserNey(count_strings(rows.filter("not fits").select("text", "class"), ORDER, each=True)))
 
     def features(batches):
@@ -216,11 +225,14 @@ def train(labelled: DataFrame) -> Judge | None:
     got = rows.filter("fits").select("class", "text").mapInArrow(features, "class int, x array<double>").toArrow()
     x, y = np.array(got.column("x").to_pylist()).reshape(-1, FEATURES), got.column("class").to_numpy().astype(float)
     shared.destroy()  # one model at a time on the driver
+    x, y = x[_has_words(x)], y[_has_words(x)]
+    if len(set(y)) < 2:
+        return Judge(KneserNey(count_strings(rows.select("text", "class"), ORDER, each=True)), PLAIN)
     return Judge(KneserNey(count_strings(rows.select("text", "class"), ORDER, each=True)), _fit(x, y))
 
 
 def score(docs: DataFrame, judge: Judge | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score, predicted for each row and whole text; null counts as empty, repeated and null ids are judged each. Score 0 where nothing could be learned. Long texts are judged alone; further columns are ignored."""
+    """doc_id, score, predicted for each row and whole text; null counts as empty, repeated and null ids are judged each. Score 0 where a text has no word, and where nothing could be learned. Long texts are judged alone; further columns are ignored."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     shared = docs.sparkSession.sparkContext.broadcast(judge)  # bounded by the sample
@@ -239,7 +251,7 @@ def score(docs: DataFrame, judge: Judge | None, id_col: str = "doc_id", text_col
 
 
 def clean(docs: DataFrame, judge: Judge | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows that score threshold or more; all columns stay. Each row is judged by its own text, so ids may repeat or be null; null and empty texts stay unless the empty text scores so high."""
+    """docs without the rows that score threshold or more; all columns stay. Each row is judged by its own text, so ids may repeat or be null; null, empty and wordless texts stay."""
     if judge is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(judge)

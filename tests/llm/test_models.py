@@ -162,3 +162,13 @@ def test_leaks_of_null_and_repeated_ids(spark):
     bench = spark.createDataFrame([("q-1", item), ("q-2", "another item that stands nowhere else at all in any text"), (None, "x")], "item_id string, text string")
     got = decontaminate.judge(spark.createDataFrame(docs, "doc_id long, text string"), bench, limit=40).collect()
     assert sorted((repr(r.doc_id), [f.item_id for f in r.found]) for r in got) == sorted([("1", ["q-1"]), ("None", ["q-1"]), ("1", []), ("2", []), ("3", [])])
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_texts_without_words_are_not_toxic(spark, sf):
+    """Whatever the training set, at more than one size: no word is no evidence, and the stage keeps such documents."""
+    documents, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    judge = toxicity.train(toxicity.labelled_texts(documents, labels))
+    odd = spark.createDataFrame([(-1, ""), (-2, None), (-3, "   "), (-4, "12345 678"), (-5, "!?\n--")], "doc_id long, text string")
+    assert {(r.score, r.predicted) for r in toxicity.score(odd, judge).collect()} == {(0.0, 0)}
+    assert toxicity.clean(odd, judge).count() == 5
