@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import calls, labels, producer, prompt
+from ..operators import calls, labels, pressure, producer, prompt
 from ..sources import replay
 from ..sources.evidence import provider_blocks
 from ..sources.shared import fresh_path
+from ..sources.tables import table
+from ..streaming import backoff
 from .producing import PAGES, _members
 from .producing import results as provided
 from .registry import query, sql
@@ -114,3 +116,49 @@ def q_call_records(spark, d):
     own = prompt.prompts(_members(spark, d))
     out = calls.records(calls.predictions(own, calls.ask(own, _by_size, fresh_path(spark, "calls"))))
     return out.select("doc", "window_id", "window_size", F.size("attempts").alias("attempts"), F.get_json_object("prediction", "$.window_id").alias("predicted"))
+
+
+# ---- back-off by event time
+
+#: Each step of a cooldown is this many seconds: events of a key are hours apart.
+STEP_SECONDS = 3600
+DEADLINES = f"""with recursive e as (select user_id as key, event_id, ts, case event_type when 'error' then 1 when 'purchase' then -1 else 0 end as d, row_number() over (partition by user_id order by ts, event_id) as k from events),
+   f as (select key, event_id, ts, d, k, least(greatest(d, 0), 5) as level from e where k = 1
+         union all select e.key, e.event_id, e.ts, e.d, e.k, least(greatest(f.level + e.d, 0), 5) from f join e on e.key = f.key and e.k = f.k + 1),
+   p as (select *, case when d > 0 then ts + to_seconds([0, 5, 10, 20, 40, 60][level + 1] * {STEP_SECONDS}) end as own from f),
+   l as (select *, max(case when d > 0 then k end) over (partition by key order by k) as cause, min(case when d > 0 then ts end) over (partition by key order by k rows between 1 following and unbounded following) as next from p),
+   o as (select key, event_id as seq, ts as "at", 'event' as kind, level, (select q.own from p q where q.key = l.key and q.k = l.cause) as until from l
+         union all select key, null, own, 'expired', null, null from l where own is not null and (next is null or next >= own))
+   select cast(key as varchar) as key, seq, "at", kind, cast(coalesce(level, (select x.level from l x where x.key = o.key and x.ts < o."at" order by x.k desc limit 1)) as int) as level, case when until > "at" then until end as until from o"""
+
+
+def timed_events(spark, d):
+    delta = F.when(F.col("event_type") == "error", 1).when(F.col("event_type") == "purchase", -1).otherwise(0)
+    return table(spark, d, "events").select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at"), delta.alias("delta"))
+
+
+@query("backoff_deadlines", DEADLINES)
+def q_deadlines(spark, d):
+    return pressure.deadlines(timed_events(spark, d), STEP_SECONDS)
+
+
+@query("backoff_deadlines_streamed", DEADLINES)
+def q_deadlines_streamed(spark, d):
+    """Eight batches, whose events overlap and in part repeat, and a last event of no key's that lets the watermark pass all cooldowns."""
+    folder, out, log = (fresh_path(spark, x) for x in ("arriving", "levels", "log"))
+    own = timed_events(spark, d)
+    last = own.agg(F.max("at").alias("at")).select(F.lit("~").alias("key"), F.lit(0).cast("long").alias("seq"), (F.col("at") + F.expr("interval 90 days")).alias("at"), F.lit(0).alias("delta"))
+    day = F.floor(F.dayofyear("at") / 7).cast("int")
+    shuffled = own.withColumn("file", day + F.pmod(F.xxhash64("seq"), F.lit(2)).cast("int"))  # half of the events come with those of the week after
+    again = own.filter("seq % 10 = 0").withColumn("file", day + 1)
+    for k, rows in enumerate([*(shuffled.unionByName(again).filter(f"file = {i}").drop("file") for i in range(7)), last]):
+        rows.write.mode("append").parquet(f"{folder}/{k}")
+    backoff.state_store(spark)
+    files = len(spark.read.option("recursiveFileLookup", True).parquet(folder).inputFiles())
+    arriving = spark.readStream.schema(own.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", -(-files // 8)).parquet(folder)
+    started = backoff.timed(arriving, STEP_SECONDS, "21 days").writeStream.format("parquet").option("path", out).option("checkpointLocation", log).start()
+    try:
+        started.processAllAvailable()
+    finally:
+        started.stop()
+    return spark.read.parquet(out).filter("key <> '~'")

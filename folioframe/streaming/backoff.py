@@ -7,6 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
 from ..operators.pressure import STEPS, cooldown
 
 
@@ -38,3 +40,64 @@ def levels(events: DataFrame) -> DataFrame:
 
     kept = events.groupBy("key").applyInPandasWithState(fold, "key string, seq long, level int", "level int", "append", "NoTimeout")
     return kept.withColumn("cooldown", cooldown(F.col("level")))
+
+
+class _Timed(StatefulProcessor):
+    """The level and the cooldown of a key by event time. Events wait until the watermark has passed them, so that they count in order; a repeated one takes the place of the first, or is late."""
+
+    def __init__(self, seconds: float):
+        self.seconds = seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "at long, seq long", "delta int")
+        self.now = handle.getValueState("now", "level int, until long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for r in rows:
+            if r.micros is not None and r.seq is not None:
+                self.waiting.updateValue((r.micros, r.seq), (r.delta or 0,))
+                self.handle.registerTimer(-(-r.micros // 1000))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        from pyspark.sql import Row
+
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        level, until = self.now.get() if self.now.exists() else (0, None)
+        due = sorted((k, v[0]) for k, v in self.waiting.iterator() if k[0] <= passed)
+        for (at, seq), delta in due:
+            if until is not None and until <= at:
+                yield Row(key=key[0], seq=None, micros=until, kind="expired", level=level, until=None)
+                until = None
+            level = min(max(level + delta, 0), len(STEPS) - 1)
+            if delta > 0 and STEPS[level]:
+                until = at + int(STEPS[level] * self.seconds * 1_000_000)
+                self.handle.registerTimer(-(-until // 1000))
+            self.waiting.removeKey((at, seq))
+            yield Row(key=key[0], seq=seq, micros=at, kind="event", level=level, until=until)
+        if until is not None and until <= passed:
+            yield Row(key=key[0], seq=None, micros=until, kind="expired", level=level, until=None)
+            until = None
+        self.now.update((level, until))
+
+    def close(self) -> None:
+        pass
+
+
+def timed(events: DataFrame, seconds: float = 1.0, late: str = "1 hour") -> DataFrame:
+    """A stream of (key string, seq long, at timestamp, delta int) -> key, seq, at, kind, level, until, as pressure.deadlines gives them.
+
+    Levels and cooldowns are the state of a key, their ends are timers of event time: a cooldown that runs out gives its row
+    when the watermark has passed its end, also if no further event of the key ever comes. Events may come `late` by so
+    much, in any order and repeatedly; those that are later still, and those without a key, a time or a number, are left
+    out. Needs the RocksDB state store (state_store()).
+    """
+    own = events.select("key", "seq", "at", F.unix_micros("at").alias("micros"), "delta").filter("key is not null").withWatermark("at", late)
+    kept = own.groupBy("key").transformWithState(_Timed(seconds), "key string, seq long, micros long, kind string, level int, until long", "append", "EventTime")
+    return kept.select("key", "seq", F.timestamp_micros("micros").alias("at"), "kind", "level", F.timestamp_micros("until").alias("until"))
+
+
+def state_store(spark: SparkSession) -> None:
+    """The state store that timers need, for queries started from now on."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
