@@ -1,6 +1,6 @@
 """Named queries over the plain tables, and their SQL."""
 
-from . import normalizing, producing, replaying, semantic, structural  # noqa: F401
+from . import nesting, normalizing, producing, replaying, semantic, structural  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
