@@ -98,19 +98,33 @@ def revised(path: Column, mark: str = ".revised") -> Column:
 
 
 def free_names(wanted: DataFrame, taken: DataFrame) -> DataFrame:
-    """wanted (name) -> name, free: the name, or with -2, -3 ... before its suffix the first that is neither taken nor wanted earlier."""
-    from pyspark.sql.window import Window as W
+    """wanted (name) -> name, free for each row: the name, or with -2, -3 ... before its suffix the first that is neither taken nor wanted.
 
-    def split(df):
-        stem, suffix = F.regexp_extract("name", r"^(.*?)(?:-(\d{1,9}))?(\.[^./]*)?$", 1), F.regexp_extract("name", r"(\.[^./]*)$", 1)
-        return df.withColumn("stem", stem).withColumn("suffix", suffix).withColumn("k", F.coalesce(F.regexp_extract("name", r"-(\d{1,9})(\.[^./]*)?$", 1).try_cast("long"), F.lit(1)))
+    No two rows get one name. Of rows that want the same free name one keeps it. The r-th row that must go elsewhere gets the
+    r-th number that is open: r + 1, and as many more as there are used numbers with fewer than r open ones before them. A
+    name is in one family alone, what it is made of before its last number, so families are dealt with apart from each other.
+    Null names stay null.
+    """
+    from pyspark.sql.window import Window as W
 
-    used = split(taken.select("name").distinct()).groupBy("stem", "suffix").agg(F.max("k").alias("used"))
-    own = split(wanted.select("name")).join(used, ["stem", "suffix"], "left").join(taken.select("name").distinct().withColumn("is_taken", F.lit(True)), "name", "left")
-    rank = F.row_number().over(W.partitionBy("stem", "suffix").orderBy("name"))
-    first = F.col("is_taken").isNull() & (rank == 1)
-    number = F.coalesce("used", F.lit(0)) + rank
-    return own.select("name", F.when(first, F.col("name")).otherwise(F.concat("stem", F.lit("-"), F.greatest(number, F.lit(2)).cast("string"), "suffix")).alias("free"))
+    suffix = F.regexp_extract("name", r"(\.[^./\\]*)$", 1)
+    stem = F.expr("left(name, length(name) - length(suffix))")
+    numbered = r"(?s)^(.*)-([1-9]\d{0,8})$"
+    own = wanted.filter("name is not null").select("name").withColumn("nth", F.row_number().over(W.partitionBy("name").orderBy(F.lit(1))))
+    held = taken.filter("name is not null").select("name").distinct()
+    kept = own.filter("nth = 1").join(held, "name", "left_anti").select("name", F.col("name").alias("free"))
+    rest = own.join(held.withColumn("held", F.lit(True)), "name", "left").filter("held or nth > 1").groupBy("name").agg(F.count("*").alias("n"))
+    rest = rest.withColumn("suffix", suffix).withColumn("stem", stem)
+    used = held.unionByName(own.select("name")).distinct().withColumn("suffix", suffix).withColumn("bare", stem).filter(F.col("bare").rlike(numbered))
+    used = used.select(F.regexp_extract("bare", numbered, 1).alias("stem"), "suffix", F.regexp_extract("bare", numbered, 2).cast("long").alias("k")).filter("k >= 2")
+    used = used.join(rest.select("stem", "suffix"), ["stem", "suffix"], "left_semi")
+    before = F.col("k") - 1 - F.row_number().over(W.partitionBy("stem", "suffix").orderBy("k"))  # open numbers below a used one
+    marks = used.select("stem", "suffix", before.alias("at"), F.lit(True).alias("is_used"))
+    rows = rest.select("stem", "suffix", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("at"), F.lit(False).alias("is_used"))
+    passed = F.count(F.when(F.col("is_used"), 1)).over(W.partitionBy("stem", "suffix").orderBy("at", "is_used").rowsBetween(W.unboundedPreceding, 0))
+    number = (F.col("at") + 1 + passed).cast("string")
+    moved = marks.unionByName(rows).withColumn("number", number).filter("not is_used").select(F.concat("stem", "suffix").alias("name"), F.concat("stem", F.lit("-"), "number", "suffix").alias("free"))
+    return kept.unionByName(moved).unionByName(wanted.filter("name is null").select("name", F.lit(None).cast("string").alias("free")))
 
 
 def chosen_files(spark: SparkSession, names: list[str], asked: str, skip: str = r"\.revised\.") -> list[str]:

@@ -50,7 +50,7 @@ def test_markdown_files_round_trip(spark, tmp_path):
 def test_names_and_reports(spark):
     df = lambda *names: spark.createDataFrame([(n,) for n in names], "name string")
     got = {r.name: r.free for r in sinks.free_names(df("a.md", "b.md", "c"), df("a.md", "a-4.md", "x.md")).collect()}
-    assert got == {"a.md": "a-5.md", "b.md": "b.md", "c": "c"}
+    assert got == {"a.md": "a-2.md", "b.md": "b.md", "c": "c"}
     assert sinks.chosen_files(spark, ["b.md", "a.md", "a.revised.md"], "all") == ["a.md", "b.md"]
     assert sinks.chosen_files(spark, [], "x.md； y.md,z.md") == ["x.md", "y.md", "z.md"]
     report = sinks.markdown_report(spark.createDataFrame([(1, "p|q"), (2, None)], "k int, v string").orderBy("k"), ["k", "v"], "T")
