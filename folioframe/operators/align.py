@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..sources.shared import written
+
 PROBES = (40, 28, 20, 14)
 GRAM, STRIDE = 6, 7
 MARKERS = ("参考答案", "答案", "解析", "解答", "解：", "证明")
@@ -23,28 +25,44 @@ def probes(questions: DataFrame) -> DataFrame:
     return questions.select("question", F.explode(each).alias("p")).select("question", "p.rank", "p.probe").filter(F.length("probe") >= GRAM)
 
 
+def _squeezed(blocks: DataFrame) -> DataFrame:
+    return blocks.withColumn("squeezed", squeeze(F.coalesce("content", F.lit("")))).filter(F.length("squeezed") >= GRAM).select("doc", "pos", "squeezed")
+
+
+def candidates(asked: DataFrame, own: DataFrame, stride: int) -> DataFrame:
+    """asked (probe), each once, of GRAM + stride - 1 characters or more -> probe, doc, pos of blocks (doc, pos, squeezed) that may contain it.
+
+    Of a block, the hashed pieces of GRAM characters at every stride-th place are kept, if some probe has them at all. Where a
+    block contains a probe, the pieces of the probe at every stride-th place from some place on are among them, all of them:
+    so of each of the `stride` rows of places the probe only needs one piece, and takes the one that fewest blocks have. A
+    beginning that many probes share, and a line that many blocks have, thus join nothing unless a probe has nothing else; a
+    row with a piece that no block has is left out.
+    """
+    place = lambda c, i: F.xxhash64(F.substring(c, i, F.lit(GRAM)))
+    heads = asked.withColumn("at", F.explode(F.sequence(F.lit(1), F.length("probe") - GRAM + 1))).select("probe", F.pmod("at", F.lit(stride)).alias("row"), place("probe", F.col("at")).alias("piece"))
+    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("squeezed") - GRAM + 1, F.lit(stride)), lambda i: place("squeezed", i)))
+    cut = written(own.select("doc", "pos", F.explode(pieces).alias("piece")).join(heads.select("piece").distinct(), "piece", "left_semi"), "pieces")
+    counts = cut.groupBy("piece").agg(F.count("*").alias("n"))
+    rarest = heads.join(counts, "piece", "left").groupBy("probe", "row").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("least"))
+    chosen = rarest.filter("least.n > 0").select("probe", F.col("least.piece").alias("piece")).distinct()
+    return cut.join(chosen, "piece").select("probe", "doc", "pos").distinct()
+
+
 def contained(probe_table: DataFrame, blocks: DataFrame) -> DataFrame:
     """(question, rank, probe) with each block (doc, pos, content) that contains the probe.
 
-    An equi-join instead of a nested loop, on hashed pieces of GRAM characters: of a block those at every STRIDE-th place, of a
-    probe those at its first STRIDE places. A probe of GRAM + STRIDE - 1 characters or more that a block contains covers one of
-    the block's places, so they meet; containment is checked on what meets. Shorter probes, if there are any, meet the pieces at
-    all places of the blocks. A block's text goes with its pieces only past a semi-join with the probes' pieces.
+    An equi-join on pieces instead of a nested loop (see candidates), with each different probe checked once on what meets.
+    Probes too short for a stride meet the pieces at all places of the blocks. A block's text goes with its pieces only past
+    the join.
     """
-    own = blocks.withColumn("squeezed", squeeze(F.coalesce("content", F.lit("")))).filter(F.length("squeezed") >= GRAM).select("doc", "pos", "squeezed")
+    own = _squeezed(blocks)
+    asked = probe_table.select("probe").distinct()
     short = F.length("probe") < GRAM + STRIDE - 1
-
-    def met(probes_: DataFrame, stride: int) -> DataFrame:
-        heads = probes_.withColumn("piece", F.explode(F.sequence(F.lit(1), F.lit(stride)))).withColumn("piece", F.xxhash64(F.substring("probe", F.col("piece"), F.lit(GRAM))))
-        pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("squeezed") - GRAM + 1, F.lit(stride)), lambda i: F.xxhash64(F.substring("squeezed", i, F.lit(GRAM)))))
-        cut = own.select("doc", "pos", F.explode(pieces).alias("piece")).join(heads.select("piece").distinct(), "piece", "left_semi")
-        pairs = cut.join(heads, "piece").select("question", "rank", "probe", "doc", "pos").distinct()
-        return pairs.join(own, ["doc", "pos"]).filter(F.contains("squeezed", F.col("probe"))).select("question", "rank", "doc", "pos")
-
-    found = met(probe_table.filter(~short), STRIDE)
-    if probe_table.filter(short).limit(1).count():
-        found = found.unionByName(met(probe_table.filter(short), 1))
-    return found.distinct()
+    met = candidates(asked.filter(~short), own, STRIDE)
+    if asked.filter(short).limit(1).count():
+        met = met.unionByName(candidates(asked.filter(short), own, 1))
+    held = met.join(own, ["doc", "pos"]).filter(F.contains("squeezed", F.col("probe"))).select("probe", "doc", "pos").distinct()
+    return held.join(probe_table, "probe").select("question", "rank", "doc", "pos").distinct()
 
 
 def starts(questions: DataFrame, blocks: DataFrame) -> DataFrame:
