@@ -29,3 +29,22 @@ def extraction_loss(blocks: DataFrame, raw: DataFrame) -> DataFrame:
     loss = F.col("raw_count") - F.coalesce("n", F.lit(0))
     joined = raw.filter("raw_count is not null").join(own, ["doc", "page_seq"], "left").withColumn("loss", loss)
     return joined.groupBy("doc").agg(F.sum("loss").alias("loss"), F.count_if(F.col("loss") != 0).alias("pages_differing"))
+
+
+def raw_counts(pages: DataFrame, raw: DataFrame) -> DataFrame:
+    """pages (doc, page_seq) and the raw pages kept of them (doc, number, text as JSON) -> doc, page_seq, raw_count.
+
+    A page's raw file is the one of its own number, or else the next one's (files may be numbered from 0 or from 1): also
+    where the first holds no block list, but not where it is no JSON, which makes the count null at once. The list is
+    parsing_res_list, at the top or in pruned_result; an empty one counts 0. A number that is kept twice counts as the file
+    whose text is smaller.
+    """
+    own = pages.select("doc", "page_seq").distinct()
+    kept = raw.groupBy("doc", "number").agg(F.min("text").alias("text"))
+    held = lambda path: F.json_array_length(F.get_json_object("text", path)).cast("long")
+    kept = kept.select("doc", "number", F.struct(F.try_parse_json("text").isNotNull().alias("is_json"), F.coalesce(held("$.parsing_res_list"), held("$.pruned_result.parsing_res_list")).alias("n")).alias("file"))
+    keys = own.select("doc", "page_seq", F.explode(F.array(F.col("page_seq"), F.col("page_seq") + 1)).alias("number"))
+    first, second = (F.max(F.when(F.col("number") == F.col("page_seq") + k, F.col("file"))) for k in (0, 1))
+    found = keys.join(kept, ["doc", "number"]).groupBy("doc", "page_seq").agg(first.alias("a"), second.alias("b"))
+    count = F.when(F.col("a").isNotNull() & ~F.col("a.is_json"), F.lit(None)).otherwise(F.coalesce("a.n", "b.n"))
+    return own.join(found.select("doc", "page_seq", count.alias("raw_count")), ["doc", "page_seq"], "left")

@@ -91,6 +91,14 @@ def read_markdown(spark: SparkSession, root: str) -> DataFrame:
     return raw.select("path", bom.alias("has_bom"), F.decode(body, "UTF-8").alias("text"))
 
 
+def read_raw_pages(spark: SparkSession, root: str) -> DataFrame:
+    """doc, number, text of <doc>/.../page-<number>.json below root; the document is the folder next to the file, or the one above it if that is called raw."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "page-*.json").option("recursiveFileLookup", True).load(root)
+    parts = F.split(F.regexp_replace("path", r"/raw/(?=[^/]*$)", "/"), "/")
+    number = F.regexp_extract("path", r"page-(\d{1,9})\.json$", 1).try_cast("int")
+    return files.select(F.element_at(parts, -2).alias("doc"), number.alias("number"), F.decode("content", "UTF-8").alias("text")).filter("number is not null")
+
+
 def list_inputs(spark: SparkSession, folders: list[str], suffix: str = ".pdf", skip: str | None = None, limit: int | None = None) -> DataFrame:
     """Files with the suffix directly in the folders, by path, each once whatever its case."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folders).select("path", "length")
