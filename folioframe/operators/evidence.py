@@ -80,8 +80,37 @@ def missing_images(markdown: DataFrame, files: DataFrame, pattern: str = r'<img[
     return found.join(files, ["doc", "src"], "left_anti").distinct()
 
 
+IMAGE_TAG = r'(<img[^>]*?src=")([^"]+)(")'
+
+
+def _pieces(content: Column) -> Column:
+    """array<struct<between, head, src>>: what stands before each image tag's source, the tag's beginning, and the source; the last one has no tag."""
+    heads, sources = (F.regexp_extract_all(content, F.lit(IMAGE_TAG), F.lit(k)) for k in (1, 2))
+    tags = F.zip_with(heads, sources, lambda h, s: F.struct(h.alias("head"), s.alias("src")))
+    return F.zip_with(F.split(content, IMAGE_TAG, -1), tags, lambda b, t: F.struct(b.alias("between"), t["head"].alias("head"), t["src"].alias("src")))
+
+
+def _joined(piece: Column, new: Column) -> Column:
+    """A piece with another source."""
+    return F.concat(piece["between"], F.when(piece["src"].isNull(), F.lit("")).otherwise(F.concat(piece["head"], F.coalesce(new, piece["src"]), F.lit('"'))))
+
+
 def rewrite_images(content: Column, mapping: Column) -> Column:
-    """Each image source that the map knows becomes what the map says."""
-    pairs = F.map_entries(mapping)
-    one = lambda text, e: F.replace(text, F.concat(F.lit('src="'), e["key"], F.lit('"')), F.concat(F.lit('src="'), e["value"], F.lit('"')))
-    return F.aggregate(pairs, content, one)
+    """Each source of an image tag that the map knows becomes what the map says, once; all else stays."""
+    return F.array_join(F.transform(_pieces(content), lambda p: _joined(p, F.try_element_at(mapping, p["src"]))), "")
+
+
+def rewritten(texts: DataFrame, mapping: DataFrame) -> DataFrame:
+    """texts (doc, content) and mapping (doc, src, file) -> texts with the sources of image tags rewritten, without a map a document.
+
+    Texts are cut at their image tags; the tags' sources are joined with the mapping by document and source, so that a document
+    of many images, or a mapping of many entries, is many keys; the pieces are put together in their order. Of a source that
+    is mapped twice the smaller file counts. Null contents stay null, docs must come once; rows of a null doc are not mapped.
+    """
+    pieces = texts.select("doc", F.posexplode(_pieces(F.col("content"))).alias("k", "p"))
+    known = mapping.groupBy("doc", F.col("src").alias("_src")).agg(F.min("file").alias("_file"))
+    found = pieces.withColumn("_src", F.col("p.src")).join(known, ["doc", "_src"], "left").select("doc", "k", _joined(F.col("p"), F.col("_file")).alias("text"))
+    whole = found.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "text"))), lambda x: x["text"]), "").alias("_new"))
+    same = texts.withColumn("_doc", F.col("doc"))
+    out = same.join(whole.withColumnRenamed("doc", "_other"), F.col("_doc").eqNullSafe(F.col("_other")), "left").withColumn("content", F.when(F.col("content").isNotNull(), F.col("_new")))
+    return out.drop("_doc", "_other", "_new")

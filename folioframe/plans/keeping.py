@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import gates
+from ..operators import evidence, gates, producer
 from ..sources.shared import fresh_path
 from ..sources.tables import blocks, table
 from ..streaming import reports
-from .producing import results
+from .producing import PAGES, results
 from .registry import ORACLE, query, sql
 
 
@@ -62,3 +62,35 @@ def q_raw_counts(spark, d):
 def q_raw_loss(spark, d):
     """Raw counts as they were kept against the blocks of the documents."""
     return gates.extraction_loss(blocks(table(spark, d, "documents")), gates.raw_counts(*raw(spark, d)))
+
+
+# ---- images in Markdown
+
+TAGGED = PAGES + """, im as (select doc, page_seq, case (doc + page_seq) % 4 when 0 then 'media/imgs/p' || page_seq || '.png' when 3 then 'media/imgs/p' || page_seq || '.jpg' else '/imgs/../p' || page_seq || '.png' end as file from pg),
+  tx as (select pg.doc, string_agg(md || chr(10) || '<div><img width="9" src="' || file || '" alt="a"></div> <a src="/imgs/../p' || pg.page_seq || '.png">' || case when pg.page_seq % 2 = 1 then '<img src="/other.png">' else '' end, chr(10) order by pg.page_seq) as md from pg join im on im.doc = pg.doc and im.page_seq = pg.page_seq group by pg.doc)"""
+
+
+def tagged(spark, d):
+    """Results whose pages show their image, in Markdown, once as an image and once not."""
+    own, src = results(spark, d), F.map_keys("images")[0]
+    tags = F.concat(F.lit('\n<div><img width="9" src="'), src, F.lit('" alt="a"></div> <a src="'), src, F.lit('">'), F.when(F.col("page_seq") % 2 == 1, '<img src="/other.png">').otherwise(""))
+    return own.withColumn("markdown_text", F.concat("markdown_text", tags))
+
+
+def _saved(rows):
+    each = rows.select("doc", F.explode("images").alias("src", "value"))
+    return producer.image_records(each).filter("state = 'saved'").select("doc", "src", "file")
+
+
+@query("rewritten_markdown", sql("blocks", then=TAGGED + r" select doc, sha256(regexp_replace(md, '[ \t\r\f\v]+(\n|$)', '\1', 'g')) as markdown from tx"))
+def q_rewritten(spark, d):
+    rows = tagged(spark, d)
+    texts = producer.markdown(producer.page_table(rows)).select("doc", F.col("markdown").alias("content"))
+    return evidence.rewritten(texts, _saved(rows)).select("doc", F.sha2("content", 256).alias("markdown"))
+
+
+@query("converted_markdown", sql("blocks", then=TAGGED + r" select doc, 'ok' as status, sha256(regexp_replace(md, '[ \t\r\f\v]+(\n|$)', '\1', 'g')) as markdown from tx"))
+def q_converted(spark, d):
+    """What is converted holds its images under the names under which they were saved."""
+    rows = tagged(spark, d)
+    return producer.convert(rows, rows.select("doc").distinct()).select("doc", "status", F.sha2("markdown", 256).alias("markdown"))
