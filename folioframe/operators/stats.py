@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 IMAGES = ("image", "chart")
 FORMULAS = ("display_formula", "inline_formula", "formula_number")
@@ -22,6 +23,45 @@ def per_document(blocks: DataFrame) -> DataFrame:
     return out.withColumn("order_null_ratio", F.round((F.col("blocks") - F.col("ordered")) / F.col("blocks"), 4))
 
 
+def _present(c: str) -> Column:
+    return F.coalesce(F.size(c), F.lit(0)) > 0
+
+
+def per_page(blocks: DataFrame, raw: DataFrame) -> DataFrame:
+    """blocks with bbox and polygon (arrays), raw (doc, page_seq, raw_count) -> a row a page of either: doc, page_seq, blocks, ordered, conflicts, boxed, outlined, images, formulas, raw_count, loss.
+
+    conflicts are known orders below the known one before them on the page. loss is raw_count less blocks, null where nothing
+    raw was read. A null or empty array is no geometry.
+    """
+    before = F.last("provider_block_order", ignorenulls=True).over(W.partitionBy("doc", "page_seq").orderBy("sequence_index").rowsBetween(W.unboundedPreceding, -1))
+    slim = blocks.select("doc", "page_seq", "sequence_index", "label", "provider_block_order", _present("bbox").alias("boxed"), _present("polygon").alias("outlined"))
+    own = slim.withColumn("back", F.col("provider_block_order") < before).groupBy("doc", "page_seq").agg(
+        F.count("*").alias("blocks"), F.count("provider_block_order").alias("ordered"), F.count_if("back").alias("conflicts"), F.count_if("boxed").alias("boxed"), F.count_if("outlined").alias("outlined"),
+        F.count_if(F.col("label").isin(*IMAGES)).alias("images"), F.count_if(F.col("label").isin(*FORMULAS)).alias("formulas"),
+    )
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("blocks", "ordered", "conflicts", "boxed", "outlined", "images", "formulas")]
+    both = own.join(raw.select("doc", "page_seq", "raw_count"), ["doc", "page_seq"], "full")
+    return both.select("doc", "page_seq", *counts, "raw_count", (F.col("raw_count") - F.coalesce("blocks", F.lit(0))).alias("loss"))
+
+
+def document_summary(pages: DataFrame, assets: DataFrame) -> DataFrame:
+    """per_page's rows and assets (doc, state) -> a row a document of pages: counts, orders, geometry, images with their assets, what extraction lost.
+
+    Ratios have 4 digits and are null of a document without blocks; pages without blocks count as pages. Pages are summed
+    first and no list of them is gathered: the pages that lost something are per_page's rows with a loss other than 0.
+    """
+    total = lambda c: F.sum(c).alias(c)
+    own = pages.groupBy("doc").agg(
+        F.count("*").alias("pages"), total("blocks"), F.min("blocks").alias("blocks_per_page_min"), F.max("blocks").alias("blocks_per_page_max"), total("ordered"), total("conflicts"),
+        F.count_if(F.col("conflicts") > 0).alias("pages_out_of_order"), total("boxed"), total("outlined"), total("images"), total("formulas"),
+        F.count("raw_count").alias("raw_pages_read"), F.coalesce(F.sum("loss"), F.lit(0)).alias("loss_blocks"), F.count_if(F.col("loss") != 0).alias("pages_with_loss"),
+    )
+    held = assets.groupBy("doc").agg(F.count("*").alias("assets"), F.count_if(F.col("state") == "saved").alias("assets_saved"), F.count_if(F.col("state") == "missing").alias("assets_missing"))
+    ratio = lambda c: F.when(F.col("blocks") > 0, F.round(c / F.col("blocks"), 4))
+    out = own.join(held, "doc", "left").fillna(0, ["assets", "assets_saved", "assets_missing"])
+    return out.withColumns({"order_null_ratio": ratio(F.col("blocks") - F.col("ordered")), "bbox_present_ratio": ratio(F.col("boxed")), "polygon_present_ratio": ratio(F.col("outlined"))}).drop("boxed", "outlined")
+
+
 def label_histogram(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("label").agg(F.count("*").alias("n"))
 

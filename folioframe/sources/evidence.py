@@ -1,4 +1,4 @@
-"""Readers of evidence documents, views, provider results, Markdown and file lists; the evidence projection."""
+"""Readers of evidence documents, views, provider results and Markdown; the evidence projection."""
 
 from __future__ import annotations
 
@@ -20,13 +20,6 @@ def read_evidence(spark: SparkSession, root: str) -> DataFrame:
     return df.withColumn("path", F.col("_metadata.file_path"))
 
 
-def sibling(path: Column, kind: str) -> Column:
-    """Where a derived artifact (view, raw, semantic, diagnostics) of an evidence file lies, by its layout."""
-    new = {"view": "normalized-view.json", "raw": "raw", "semantic": "semantic", "diagnostics": "diagnostics"}[kind]
-    old = {"view": ".normalized.json", "raw": ".raw", "semantic": ".semantic", "diagnostics": ".diagnostics"}[kind]
-    return F.when(path.rlike("(^|/)evidence\\.json$"), F.regexp_replace(path, "evidence\\.json$", new)).otherwise(F.regexp_replace(path, "\\.evidence\\.json$", old))
-
-
 def read_views(spark: SparkSession, root: str) -> DataFrame:
     df = spark.read.schema(VIEW).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*normalized*.json").json(root)
     return df.select("document_id", F.explode("blocks").alias("v")).select("document_id", "v.*")
@@ -97,12 +90,3 @@ def read_raw_pages(spark: SparkSession, root: str) -> DataFrame:
     parts = F.split(F.regexp_replace("path", r"/raw/(?=[^/]*$)", "/"), "/")
     number = F.regexp_extract("path", r"page-(\d{1,9})\.json$", 1).try_cast("int")
     return files.select(F.element_at(parts, -2).alias("doc"), number.alias("number"), F.decode("content", "UTF-8").alias("text")).filter("number is not null")
-
-
-def list_inputs(spark: SparkSession, folders: list[str], suffix: str = ".pdf", skip: str | None = None, limit: int | None = None) -> DataFrame:
-    """Files with the suffix directly in the folders, by path, each once whatever its case."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folders).select("path", "length")
-    if skip:
-        files = files.filter(~F.col("path").rlike(skip))
-    files = files.groupBy(F.lower("path").alias("_key")).agg(F.min("path").alias("path"), F.min_by("length", "path").alias("length")).drop("_key")
-    return files.orderBy("path").limit(limit) if limit else files

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from folioframe.sources import evidence
+from folioframe.sources import evidence, inputs
 from folioframe.streaming import backoff
 
 
@@ -21,7 +21,7 @@ def test_evidence_and_view(spark, tmp_path):
     assert [r.block_ref for r in blocks.filter("doc = 'd'").orderBy("pos").collect()] == ["p0000:b0000", "p0000:b0001", "p0001:b0000", "p0001:b0001"]
     joined = evidence.with_view(blocks, evidence.read_views(spark, str(tmp_path)))
     assert joined.count() == 8 and joined.filter("status = 'changed'").count() == 1
-    names = {r[0].rsplit("/", 1)[1] for r in read.select(evidence.sibling(F.col("path"), "view")).collect()}
+    names = {r[0].rsplit("/", 1)[1] for r in read.select(inputs.beside(F.col("path"), "view")).collect()}
     assert names == {"a.normalized.json", "normalized-view.json"}
     images = read.select(F.col("document_id").alias("doc"), F.explode("pages").alias("p")).select("doc", "p.page_seq", "p.images")
     assert {r.doc: r.images for r in evidence.merged_images(images).collect()}["d"] == {"a": "http://x/1"}
