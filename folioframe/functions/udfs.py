@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from . import mathtext
 
+LINES = "array<struct<pos:int,at:bigint,length:int,comma:int>>"
+WORDS = "array<struct<at:bigint,word:string>>"
 SPANS = "array<struct<start:int,end:int,kind:string>>"
 FINDINGS = "array<struct<code:string,severity:string,message:string,line:int,column:int,context:string>>"
 
@@ -53,3 +55,24 @@ def protected(c: Column) -> Column:
 
 def math(c: Column) -> Column:
     return _batched(lambda t: [s._asdict() for s in mathtext.math_spans(t, mathtext.protected_spans(t))[0]], SPANS)(c)
+
+
+def _lines(text: str) -> list[dict]:
+    out, at = [], 0
+    for pos, line in enumerate(text.split("\n")):
+        out.append({"pos": pos, "at": at, "length": len(line), "comma": line.find(",")})
+        at += len(line) + 1
+    return out
+
+
+def line_places(c: Column) -> Column:
+    """The lines of a text: pos from 0, the code point at which each begins, its length, the place of its first comma in it or -1."""
+    return _batched(_lines, LINES)(c)
+
+
+def word_places(c: Column, least: int) -> Column:
+    """The words of a text, of `least` code points or more, parted by blanks and line feeds, with the code point at which each begins."""
+    import re
+
+    runs = re.compile(rf"[^ \n]{{{least},}}")
+    return _batched(lambda t: [{"at": m.start(), "word": m.group()} for m in runs.finditer(t)], WORDS)(c)

@@ -3,6 +3,12 @@
 An interval [start, end) is the union of at most two cells of each size 1, 2, 4 ... (the nodes of a segment tree); a point lies
 in one cell of each size. They meet in exactly one cell if the point is in the interval, and in none if not, so no candidate
 is ever formed in vain. Rows of one document are dealt over its cells, so a long document is not one key.
+
+A point is named once for each size that intervals have. With `leaf` above 0 no cell is smaller than 2 ** leaf positions: a
+leaf that an interval covers in part is a cell of its own kind (PART), where the bounds are compared, so points are named
+less often. An interval then also meets points in vain, those in the rest of the two leaves at its ends: of 2 ** (leaf + 1)
+positions at most, whatever the document. A leaf of about the usual interval is cheapest; where very many points share a
+position leave it 0.
 """
 
 from __future__ import annotations
@@ -11,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-LEVELS = 40  # cells of up to 2 ** 39; longer intervals take more of the largest
+LEVELS = 40  # cells of up to 2 ** 39 leaves; longer intervals take more of the largest
+PART = -1  # the size of a leaf that is covered in part
 
 
 def cells(start: Column, end: Column) -> Column:
@@ -33,33 +40,50 @@ def cells(start: Column, end: Column) -> Column:
     return F.when((start >= 0) & (start < end), F.concat(small, F.coalesce(most, F.array().cast("array<struct<size:int,cell:bigint>>"))))
 
 
-def _celled(intervals: DataFrame, doc: str, start: str, end: str) -> DataFrame:
-    return intervals.withColumn("_cell", F.explode(cells(F.col(start), F.col(end)))).withColumns({"_doc": F.col(doc), "_size": F.col("_cell.size"), "_at": F.col("_cell.cell")}).drop("_cell")
+def _celled(intervals: DataFrame, doc: str, start: str, end: str, leaf: int = 0) -> DataFrame:
+    first, last = F.col(start).cast("long"), F.col(end).cast("long")
+    if leaf:
+        size = F.lit(1 << leaf).cast("long")
+        number = lambda x: F.call_function("div", x, size)
+        part = F.array_compact(F.array(*[F.when(x % size != 0, number(x)) for x in (first, last)]))
+        parts = F.transform(F.array_distinct(part), lambda c: F.struct(F.lit(PART).alias("size"), c.alias("cell")))
+        none = F.array().cast("array<struct<size:int,cell:bigint>>")
+        own = F.when((first >= 0) & (first < last), F.concat(F.coalesce(cells(number(first + size - 1), number(last)), none), parts))
+    else:
+        own = cells(first, last)
+    return intervals.withColumn("_cell", F.explode(own)).withColumns({"_doc": F.col(doc), "_size": F.col("_cell.size"), "_at": F.col("_cell.cell")}).drop("_cell")
 
 
-def _named(points: DataFrame, sizes: DataFrame, doc: str, at: str) -> DataFrame:
-    """Each point with its cell of each size that intervals have: LEVELS sizes at most."""
+def _named(points: DataFrame, sizes: DataFrame, doc: str, at: str, leaf: int = 0) -> DataFrame:
+    """Each point with its cell of each size that intervals have: LEVELS sizes and PART at most."""
     known = [r["_size"] for r in sizes.select("_size").distinct().collect()]
     each = points.withColumn("_size", F.explode(F.array(*[F.lit(k).cast("int") for k in sorted(known)]) if known else F.array().cast("array<int>")))
-    cell = F.call_function("div", F.col(at).cast("long"), F.expr("shiftleft(1L, _size)"))
+    cell = F.call_function("div", F.col(at).cast("long"), F.expr(f"shiftleft(1L, greatest(_size, 0) + {leaf})"))
     return each.withColumns({"_doc": F.col(doc), "_at": cell}).filter(F.col(at) >= 0)
 
 
-def holding(points: DataFrame, intervals: DataFrame, doc: str = "doc", at: str = "at", start: str = "start", end: str = "end") -> DataFrame:
+def holding(points: DataFrame, intervals: DataFrame, doc: str = "doc", at: str = "at", start: str = "start", end: str = "end", leaf: int = 0) -> DataFrame:
     """Every pair of a point and an interval of its document with start <= at < end: the points' columns and the intervals' but for doc.
 
     Columns other than doc must have different names. Intervals that are empty, begin below 0 or have a null bound hold
     nothing; a null doc is no document. Repeated points and intervals each make pairs of their own.
     """
-    own = _celled(intervals, doc, start, end).drop(doc)
-    named = _named(points, own, doc, at)
-    return named.join(own, ["_doc", "_size", "_at"]).drop("_doc", "_size", "_at")
+    own = _celled(intervals, doc, start, end, leaf).drop(doc)
+    met = _named(points, own, doc, at, leaf).join(own, ["_doc", "_size", "_at"])
+    if leaf:
+        met = met.filter((F.col("_size") != PART) | ((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))))
+    return met.drop("_doc", "_size", "_at")
 
 
-def covered(points: DataFrame, intervals: DataFrame, doc: str = "doc", at: str = "at", start: str = "start", end: str = "end") -> DataFrame:
+def covered(points: DataFrame, intervals: DataFrame, doc: str = "doc", at: str = "at", start: str = "start", end: str = "end", leaf: int = 0) -> DataFrame:
     """points with covered: whether some interval of the document holds the point, however many do."""
-    own = _celled(intervals.select(doc, start, end), doc, start, end).select("_doc", "_size", "_at").distinct()
-    inside = _named(points.select(doc, at).distinct(), own, doc, at).join(own, ["_doc", "_size", "_at"], "left_semi").select(F.col("_doc").alias(doc), at).distinct()
+    bound = lambda c: F.when(F.col("_size") == PART, F.col(c))
+    own = _celled(intervals.select(doc, start, end), doc, start, end, leaf).select("_doc", "_size", "_at", bound(start).alias("_start"), bound(end).alias("_end")).distinct()
+    named = _named(points.select(doc, at).distinct(), own, doc, at, leaf).alias("p")
+    same = [F.col(f"p.{c}") == F.col(f"i.{c}") for c in ("_doc", "_size", "_at")]
+    if leaf:
+        same.append((F.col("p._size") != PART) | ((F.col(f"p.{at}") >= F.col("i._start")) & (F.col(f"p.{at}") < F.col("i._end"))))
+    inside = named.join(own.alias("i"), same, "left_semi").select(F.col("_doc").alias(doc), at).distinct()
     return points.join(inside.withColumn("covered", F.lit(True)), [doc, at], "left").withColumn("covered", F.coalesce("covered", F.lit(False))).select(*points.columns, "covered")
 
 

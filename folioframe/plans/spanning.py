@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
+from ..functions.udfs import line_places, word_places
 from ..operators import intervals
 from ..sources import sinks
 from ..sources.tables import table
@@ -19,37 +19,41 @@ PLACED = """with l as (select doc_id as doc, unnest(string_split(text, chr(10)))
   win as (select a.doc, a.pos as win, a."at" as "start", max(b."at" + length(b.line)) as "end" from ln a join ln b on a.doc = b.doc and b.pos between a.pos and a.pos + 4 where a.pos % 3 = 0 group by a.doc, a.pos, a."at")"""
 
 
+LEAF = 8  # windows, and lines up to a comma, are of some hundred characters
+
+
+def _placed(spark, d):
+    return table(spark, d, "documents").select(F.col("doc_id").alias("doc"), line_places(F.col("text")).alias("lines"))
+
+
 def lines(spark, d):
-    """doc, pos, line, at: where each line begins in its text."""
-    own = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    before = F.sum(F.length("line") + 1).over(W.partitionBy("doc").orderBy("pos").rowsBetween(W.unboundedPreceding, -1))
-    return own.withColumn("at", F.coalesce(before, F.lit(0)).cast("long"))
+    """doc, pos, at, length, comma: where each line begins in its text; the texts themselves go no further."""
+    return _placed(spark, d).select("doc", F.inline("lines"))
 
 
 def marks(spark, d):
     """doc, at, word: words of nine characters or more."""
-    own = lines(spark, d).select("doc", "pos", "at", F.posexplode(F.split("line", " ")).alias("k", "word"))
-    before = F.sum(F.length("word") + 1).over(W.partitionBy("doc", "pos").orderBy("k").rowsBetween(W.unboundedPreceding, -1))
-    return own.withColumn("at", F.col("at") + F.coalesce(before, F.lit(0))).filter(F.length("word") >= 9).select("doc", "at", "word")
+    return table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.inline(word_places(F.col("text"), 9)))
 
 
 def windows(spark, d):
     """doc, win, start, end: five lines from every third line on; they overlap."""
-    ends = F.max(F.col("at") + F.length("line")).over(W.partitionBy("doc").orderBy("pos").rowsBetween(0, 4))
-    return lines(spark, d).withColumn("end", ends).filter("pos % 3 = 0").select("doc", F.col("pos").alias("win"), F.col("at").alias("start"), "end")
+    last = lambda k: F.get("lines", F.least(k + 4, F.size("lines") - 1))
+    own = F.transform(F.sequence(F.lit(0), F.size("lines") - 1, F.lit(3)), lambda k: F.struct(k.alias("win"), F.get("lines", k)["at"].alias("start"), (last(k)["at"] + last(k)["length"]).alias("end")))
+    return _placed(spark, d).filter("lines is not null").select("doc", F.inline(own))
 
 
 @query("marks_in_windows", PLACED + """ select w.doc, w.win, count(m.word) as marks, min(m."at") as first from win w left join marks m on m.doc = w.doc and m."at" >= w."start" and m."at" < w."end" group by w.doc, w.win""")
 def q_marks_in_windows(spark, d):
     own = windows(spark, d)
-    held = intervals.holding(marks(spark, d), own).groupBy("doc", "win").agg(F.count("*").alias("marks"), F.min("at").alias("first"))
+    held = intervals.holding(marks(spark, d), own, leaf=LEAF).groupBy("doc", "win").agg(F.count("*").alias("marks"), F.min("at").alias("first"))
     return own.select("doc", "win").join(held, ["doc", "win"], "left").withColumn("marks", F.coalesce("marks", F.lit(0)))
 
 
 @query("windows_of_marks", PLACED + """ select doc, "at", (select count(*) from win w where m.doc = w.doc and m."at" >= w."start" and m."at" < w."end") as windows from marks m""")
 def q_windows_of_marks(spark, d):
     own = marks(spark, d)
-    held = intervals.holding(own, windows(spark, d)).groupBy("doc", "at").agg(F.count("*").alias("windows"))
+    held = intervals.holding(own, windows(spark, d), leaf=LEAF).groupBy("doc", "at").agg(F.count("*").alias("windows"))
     return own.select("doc", "at").join(held, ["doc", "at"], "left").withColumn("windows", F.coalesce("windows", F.lit(0)))
 
 
@@ -57,8 +61,8 @@ def q_windows_of_marks(spark, d):
 @query("words_in_marked_lines", PLACED + """, iv as (select doc, "at" as "start", "at" + strpos(line, ',') as "end" from ln where contains(line, ',')) select doc, "at", word, exists (select 1 from iv where iv.doc = m.doc and m."at" >= iv."start" and m."at" < iv."end") as covered from marks m""")
 def q_words_in_marked(spark, d):
     """Whether a word stands before the first comma of its line."""
-    marked = lines(spark, d).filter(F.contains("line", F.lit(","))).select("doc", F.col("at").alias("start"), (F.col("at") + F.instr("line", ",")).alias("end"))
-    return intervals.covered(marks(spark, d), marked)
+    marked = lines(spark, d).filter("comma >= 0").select("doc", F.col("at").alias("start"), (F.col("at") + F.col("comma") + 1).alias("end"))
+    return intervals.covered(marks(spark, d), marked, leaf=LEAF)
 
 
 @query(
@@ -68,7 +72,7 @@ def q_words_in_marked(spark, d):
       select doc, "start", "end", count(*) as n from u where last is null or "end" > last group by all""",
 )
 def q_widest(spark, d):
-    own = lines(spark, d).select("doc", F.col("at").alias("start"), (F.col("at") + F.length("line")).alias("end"))
+    own = lines(spark, d).select("doc", F.col("at").alias("start"), (F.col("at") + F.col("length")).alias("end"))
     words = marks(spark, d).select("doc", F.col("at").alias("start"), (F.col("at") + F.length("word")).alias("end"))
     every = windows(spark, d).select("doc", "start", "end").unionByName(own).unionByName(words)
     return intervals.widest(every).groupBy("doc", "start", "end").agg(F.count("*").alias("n"))

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from folioframe.functions import udfs
 from folioframe.operators import intervals
 from folioframe.sources import sinks
 
@@ -32,6 +33,11 @@ def test_pairs_equal_all_pairs(spark, seed):
     assert sorted((r.p, r.s) for r in pairs.collect()) == sorted((p[1], s[1]) for p in points for s in spans if inside(p, s))
     got = intervals.covered(left, right).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(((*p, any(inside(p, s) for s in spans)) for p in points), key=repr)
+    for leaf in (1, 6, 20):
+        pairs = intervals.holding(left, right, leaf=leaf)
+        assert pairs.columns == ["doc", "p", "at", "s", "start", "end"]
+        assert sorted((r.p, r.s) for r in pairs.collect()) == sorted((p[1], s[1]) for p in points for s in spans if inside(p, s))
+        assert sorted(map(tuple, intervals.covered(left, right, leaf=leaf).collect()), key=repr) == sorted(map(tuple, got), key=repr)
     none = right.limit(0)
     assert intervals.holding(left, none).collect() == [] and {r.covered for r in intervals.covered(left, none).collect()} == {False}
 
@@ -53,6 +59,24 @@ def test_no_candidate_is_formed_in_vain(spark):
     assert intervals.holding(points, spans).count() == sum(min(25, 20000 - s) for s in range(0, 20000, 10))
 
 
+def test_what_leaves_meet_in_vain(spark):
+    """With leaves the rows that meet are the pairs and what stands in the rest of the leaves at the ends."""
+    points = spark.range(20000).select(F.lit("d").alias("doc"), F.col("id").alias("at"))
+    spans = spark.range(0, 20000, 10).select(F.lit("d").alias("doc"), F.col("id").alias("start"), (F.col("id") + 300).alias("end"))
+    own = intervals._celled(spans, "doc", "start", "end", 6)
+    met = intervals._named(points, own, "doc", "at", 6).join(own.drop("doc"), ["_doc", "_size", "_at"]).count()
+    pairs = intervals.holding(points, spans, leaf=6).count()
+    assert pairs == sum(min(300, 20000 - s) for s in range(0, 20000, 10)) and pairs < met <= pairs + 2000 * 2 * 63
+    assert own.select("_size").distinct().count() <= 5 < intervals._celled(spans, "doc", "start", "end").select("_size").distinct().count()
+
+
+def test_places_in_texts(spark):
+    texts = ["", "one, two\n\n" + "t" * 11 + " " + "f" * 12 + "\n", "é" * 9 + " 𝒳" + "x" * 9, None, "a\rb\n,"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(udfs.line_places(F.col("t")).alias("l"), udfs.word_places(F.col("t"), 9).alias("w")).collect()
+    assert [r.l and [tuple(x) for x in r.l] for r in got] == [[(0, 0, 0, -1)], [(0, 0, 8, 3), (1, 9, 0, -1), (2, 10, 24, -1), (3, 35, 0, -1)], [(0, 0, 20, -1)], None, [(0, 0, 3, -1), (1, 4, 1, 0)]]
+    assert [r.w and [tuple(x) for x in r.w] for r in got] == [[], [(10, "t" * 11), (22, "f" * 12)], [(0, "é" * 9), (10, "𝒳" + "x" * 9)], None, []]
+
+
 def swept(spans):
     kept = []
     for s in sorted(spans, key=lambda s: (s[0], -s[1])):
