@@ -54,9 +54,30 @@ def _celled(intervals: DataFrame, doc: str, start: str, end: str, leaf: int = 0)
     return intervals.withColumn("_cell", F.explode(own)).withColumns({"_doc": F.col(doc), "_size": F.col("_cell.size"), "_at": F.col("_cell.cell")}).drop("_cell")
 
 
-def _named(points: DataFrame, sizes: DataFrame, doc: str, at: str, leaf: int = 0) -> DataFrame:
+def top(counts: dict[int, int], most: int = 10) -> int:
+    """The size that larger cells are split into, by the cells of each size: the smallest for which that at most doubles them, none into more than 2 ** most.
+
+    A few long intervals would else have every point named by their sizes too.
+    """
+    whole = {k: n for k, n in counts.items() if k != PART}
+    fits = [t for t in range(max(whole, default=0)) if max(whole) - t <= most and sum(n << (k - t) for k, n in whole.items() if k > t) <= sum(counts.values())]
+    return min(fits, default=max(whole, default=0))
+
+
+def _split(own: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Cells none of which is above `top`, and the sizes that are left; the counts by size, LEVELS + 1 at most, come to the driver."""
+    counts = {r["_size"]: r["count"] for r in own.groupBy("_size").count().collect()}
+    t = top(counts)
+    if t == max(counts, default=t):
+        return own, sorted(counts)
+    shift = lambda x: F.call_function("shiftleft", x, F.col("_size") - t)
+    small = F.when(F.col("_size") > t, F.sequence(shift(F.col("_at")), shift(F.col("_at") + 1) - 1)).otherwise(F.array("_at"))
+    return own.withColumn("_at", F.explode(small)).withColumn("_size", F.least("_size", F.lit(t))), sorted({min(k, t) for k in counts})
+
+
+def _named(points: DataFrame, sizes: DataFrame | list[int], doc: str, at: str, leaf: int = 0) -> DataFrame:
     """Each point with its cell of each size that intervals have: LEVELS sizes and PART at most."""
-    known = [r["_size"] for r in sizes.select("_size").distinct().collect()]
+    known = sizes if isinstance(sizes, list) else [r["_size"] for r in sizes.select("_size").distinct().collect()]
     each = points.withColumn("_size", F.explode(F.array(*[F.lit(k).cast("int") for k in sorted(known)]) if known else F.array().cast("array<int>")))
     cell = F.call_function("div", F.col(at).cast("long"), F.expr(f"shiftleft(1L, greatest(_size, 0) + {leaf})"))
     return each.withColumns({"_doc": F.col(doc), "_at": cell}).filter(F.col(at) >= 0)
@@ -68,8 +89,8 @@ def holding(points: DataFrame, intervals: DataFrame, doc: str = "doc", at: str =
     Columns other than doc must have different names. Intervals that are empty, begin below 0 or have a null bound hold
     nothing; a null doc is no document. Repeated points and intervals each make pairs of their own.
     """
-    own = _celled(intervals, doc, start, end, leaf).drop(doc)
-    met = _named(points, own, doc, at, leaf).join(own, ["_doc", "_size", "_at"])
+    own, sizes = _split(_celled(intervals, doc, start, end, leaf).drop(doc))
+    met = _named(points, sizes, doc, at, leaf).join(own, ["_doc", "_size", "_at"])
     if leaf:
         met = met.filter((F.col("_size") != PART) | ((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))))
     return met.drop("_doc", "_size", "_at")
@@ -78,8 +99,9 @@ def holding(points: DataFrame, intervals: DataFrame, doc: str = "doc", at: str =
 def covered(points: DataFrame, intervals: DataFrame, doc: str = "doc", at: str = "at", start: str = "start", end: str = "end", leaf: int = 0) -> DataFrame:
     """points with covered: whether some interval of the document holds the point, however many do."""
     bound = lambda c: F.when(F.col("_size") == PART, F.col(c))
-    own = _celled(intervals.select(doc, start, end), doc, start, end, leaf).select("_doc", "_size", "_at", bound(start).alias("_start"), bound(end).alias("_end")).distinct()
-    named = _named(points.select(doc, at).distinct(), own, doc, at, leaf).alias("p")
+    own, sizes = _split(_celled(intervals.select(doc, start, end), doc, start, end, leaf))
+    own = own.select("_doc", "_size", "_at", bound(start).alias("_start"), bound(end).alias("_end")).distinct()
+    named = _named(points.select(doc, at).distinct(), sizes, doc, at, leaf).alias("p")
     same = [F.col(f"p.{c}") == F.col(f"i.{c}") for c in ("_doc", "_size", "_at")]
     if leaf:
         same.append((F.col("p._size") != PART) | ((F.col(f"p.{at}") >= F.col("i._start")) & (F.col(f"p.{at}") < F.col("i._end"))))

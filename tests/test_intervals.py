@@ -70,6 +70,21 @@ def test_what_leaves_meet_in_vain(spark):
     assert own.select("_size").distinct().count() <= 5 < intervals._celled(spans, "doc", "start", "end").select("_size").distinct().count()
 
 
+def test_long_intervals_are_split(spark):
+    """A few long intervals add no size to the points; what they are split into at most doubles the cells."""
+    assert intervals.top({}) == 0 and intervals.top({intervals.PART: 9}) == 0 and intervals.top({3: 1}) == 3 and intervals.top({0: 100, 5: 1, 6: 1}) == 0 and intervals.top({0: 10, 5: 1}) == 2
+    assert intervals.top({0: 1 << 50, 39: 1}) == 29
+    spans = spark.range(0, 5000).select(F.lit("d").alias("doc"), (F.col("id") * 7).alias("start"), (F.col("id") * 7 + F.when(F.col("id") == 9, 20000).otherwise(5)).alias("end"))
+    whole = intervals._celled(spans, "doc", "start", "end")
+    own, sizes = intervals._split(whole)
+    assert sizes == own.select("_size").distinct().orderBy("_size").toPandas()["_size"].tolist() and len(sizes) < whole.select("_size").distinct().count()
+    assert own.count() <= 2 * whole.count()
+    points = spark.range(0, 35000, 3).select(F.lit("d").alias("doc"), F.col("id").alias("at"))
+    want = sum(1 for k in range(5000) for p in range(-(-7 * k // 3) * 3, min(7 * k + (20000 if k == 9 else 5), 35000), 3))
+    for leaf in (0, 3):
+        assert intervals.holding(points, spans, leaf=leaf).count() == want
+
+
 def test_places_in_texts(spark):
     texts = ["", "one, two\n\n" + "t" * 11 + " " + "f" * 12 + "\n", "é" * 9 + " 𝒳" + "x" * 9, None, "a\rb\n,"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(udfs.line_places(F.col("t")).alias("l"), udfs.word_places(F.col("t"), 9).alias("w")).collect()
