@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from . import mathtext
 
-LINES = "array<struct<pos:int,at:bigint,length:int,comma:int>>"
-WORDS = "array<struct<at:bigint,word:string>>"
 SPANS = "array<struct<start:int,end:int,kind:string>>"
 FINDINGS = "array<struct<code:string,severity:string,message:string,line:int,column:int,context:string>>"
 
@@ -57,17 +55,44 @@ def math(c: Column) -> Column:
     return _batched(lambda t: [s._asdict() for s in mathtext.math_spans(t, mathtext.protected_spans(t))[0]], SPANS)(c)
 
 
-def _lines(text: str) -> list[dict]:
-    out, at = [], 0
+def _lists(texts, rows, types: dict):
+    """An Arrow array of lists of structs: rows(text) gives tuples; numbers and strings are kept by column, never as an object a row."""
+    from array import array
+
+    import pyarrow as pa
+
+    kinds = {"int": ("i", pa.int32()), "bigint": ("q", pa.int64())}
+    columns = [array(kinds[t][0]) if t in kinds else [] for t in types.values()]
+    ends, none = array("i", [0]), []
+    for text in texts:
+        text = text.as_py()
+        none.append(text is None)
+        for row in rows(text) if text is not None else ():
+            for column, x in zip(columns, row, strict=True):
+                column.append(x)
+        ends.append(len(columns[0]))
+    parts = [pa.array(c, kinds[t][1]) if t in kinds else pa.array(c, pa.string()) for c, t in zip(columns, types.values(), strict=True)]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(parts, list(types)), mask=pa.array(none, pa.bool_()))
+
+
+def _listed(rows, types: dict, c: Column) -> Column:
+    def own(texts):
+        return _lists(texts, rows, types)
+
+    kind = ",".join(f"{name}:{t}" for name, t in types.items())
+    return F.arrow_udf(own, f"array<struct<{kind}>>")(c)
+
+
+def _lines(text: str):
+    at = 0
     for pos, line in enumerate(text.split("\n")):
-        out.append({"pos": pos, "at": at, "length": len(line), "comma": line.find(",")})
+        yield pos, at, len(line), line.find(",")
         at += len(line) + 1
-    return out
 
 
 def line_places(c: Column) -> Column:
     """The lines of a text: pos from 0, the code point at which each begins, its length, the place of its first comma in it or -1."""
-    return _batched(_lines, LINES)(c)
+    return _listed(_lines, {"pos": "int", "at": "bigint", "length": "int", "comma": "int"}, c)
 
 
 def word_places(c: Column, least: int) -> Column:
@@ -75,4 +100,4 @@ def word_places(c: Column, least: int) -> Column:
     import re
 
     runs = re.compile(rf"[^ \n]{{{least},}}")
-    return _batched(lambda t: [{"at": m.start(), "word": m.group()} for m in runs.finditer(t)], WORDS)(c)
+    return _listed(lambda t: ((m.start(), m.group()) for m in runs.finditer(t)), {"at": "bigint", "word": "string"}, c)
