@@ -61,7 +61,9 @@ def contained(probe_table: DataFrame, blocks: DataFrame) -> DataFrame:
     met = candidates(asked.filter(~short), own, STRIDE)
     if asked.filter(short).limit(1).count():
         met = met.unionByName(candidates(asked.filter(short), own, 1))
-    held = met.join(own, ["doc", "pos"]).filter(F.contains("squeezed", F.col("probe"))).select("probe", "doc", "pos").distinct()
+    texts = own.select(F.col("doc").alias("_doc"), F.col("pos").alias("_pos"), "squeezed")
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("pos") == F.col("_pos"))  # a document without a number has blocks too
+    held = met.join(texts, same).filter(F.contains("squeezed", F.col("probe"))).select("probe", "doc", "pos").distinct()
     return held.join(probe_table, "probe").select("question", "rank", "doc", "pos").distinct()
 
 
@@ -99,7 +101,8 @@ def long_spans(span_table: DataFrame, blocks: DataFrame, threshold: int = 20) ->
 def failures(questions: DataFrame, start_table: DataFrame, blocks: DataFrame) -> DataFrame:
     """question, reason of those found nowhere: empty, found by a later part (windows of 60, 40 and 24 characters by half), or not at all."""
     lost = questions.join(start_table.select("question").distinct(), "question", "left_anti").withColumn("text", squeeze(F.coalesce("statement", F.lit(""))))
-    parts = [F.transform(F.sequence(F.lit(0), F.greatest(F.length("text") - n - 1, F.lit(0)), F.lit(n // 2)), lambda o, n=n: F.substring("text", o + 1, F.lit(n))) for n in (60, 40, 24)]
+    part = lambda n: lambda o: F.substring("text", o + 1, F.lit(n))  # noqa: E731  (a second argument, even one with a default, would be the element's index)
+    parts = [F.transform(F.sequence(F.lit(0), F.greatest(F.length("text") - n - 1, F.lit(0)), F.lit(n // 2)), part(n)) for n in (60, 40, 24)]
     later = lost.select("question", F.explode(F.array_distinct(F.concat(*parts))).alias("probe")).filter(F.length("probe") >= 12).withColumn("rank", F.lit(0))
     hit = contained(later, blocks).select("question").distinct().withColumn("hit", F.lit(True))
     reason = F.when(F.col("text") == "", "SOLUTION_BLEED").when(F.col("hit"), "OCR_CONTENT_VARIATION").otherwise("ALIGNMENT_ALGORITHM_LIMIT")

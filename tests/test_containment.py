@@ -36,3 +36,13 @@ def test_shared_beginnings_join_little(spark):
     assert longest.count() == 300 and 300 <= pairs.count() <= 10 * 300 < 300 * 2000 / 100
     found = pairs.join(own, ["doc", "pos"]).filter("contains(squeezed, probe)")
     assert found.count() == 300
+
+
+def test_failures_by_later_parts(spark):
+    """Windows of 60, 40 and 24 characters, whatever their place among the windows; blocks of a document without a number count."""
+    word = lambda k, n: "".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    texts = {1: word(1, 150), 2: word(2, 90), 3: word(3, 150), 4: " ", 5: word(5, 30), 6: None}
+    blocks = [("d", 0, "x" + texts[1][24:48] + "x"), ("d", 1, "x" + texts[2][12:36]), (None, 0, texts[3][96:120] + "x"), ("d", 2, texts[3][20:43] + "x"), ("d", 3, texts[5][13:])]
+    questions, own = spark.createDataFrame(list(texts.items()), "question int, statement string"), spark.createDataFrame(blocks, "doc string, pos int, content string")
+    got = dict(map(tuple, align.failures(questions, align.starts(questions, own), own).collect()))
+    assert got == {1: "OCR_CONTENT_VARIATION", 2: "OCR_CONTENT_VARIATION", 3: "OCR_CONTENT_VARIATION", 4: "SOLUTION_BLEED", 5: "ALIGNMENT_ALGORITHM_LIMIT", 6: "SOLUTION_BLEED"}
