@@ -1,6 +1,7 @@
 """Levels and cooldowns by event time: batch against a plain fold, stream against batch."""
 
 import random
+import time
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -90,3 +91,13 @@ def test_cooldowns_run_out_and_late_events_are_left_out(stream):
     assert got == sorted([("a", 1, at(0), "event", 1, at(5)), ("a", None, at(5), "expired", 1, None), ("b", 2, at(100), "event", 1, at(105)), ("b", None, at(105), "expired", 1, None)], key=repr)
     more = stream([("a", 1, at(0), 1), ("a", 9, at(50), 1), ("b", 4, at(295), 1), ("~", 5, at(400), 0)], late="10 seconds")
     assert sorted(set(more) - set(got), key=repr) == sorted([("b", 4, at(295), "event", 2, at(305)), ("b", None, at(305), "expired", 2, None)], key=repr) and len(more) == len(got) + 2
+
+
+def test_many_events_go_to_the_state_at_once(spark, stream):
+    """30,000 events, of keys with one and with thousands, in two files: what a batch brings is no call to the state for each event."""
+    rng = random.Random(6)
+    events = [(rng.choice("abc") if k % 3 else f"k{k}", k, START + timedelta(seconds=k // 10, microseconds=k % 7), rng.choice([1, -1, 0])) for k in range(30_000)]
+    before = time.monotonic()
+    got = stream(events[:20_000], events[18_000:] + [("~", 0, START + timedelta(days=9), 0)], late="1 hour")
+    assert time.monotonic() - before < 60
+    assert got == folded(events)
