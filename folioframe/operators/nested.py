@@ -101,9 +101,30 @@ def secrets(found: DataFrame) -> DataFrame:
     return texts.select("id", full_path(F.col("steps")).alias("path"), reason.alias("reason")).filter("reason is not null")
 
 
+def first_block_list(column: str, deepest: int = DEEPEST, names: tuple[str, ...] = BLOCK_LISTS) -> Column:
+    """What block_lists finds in one payload (JSON), within its row: no value but the lists and objects of one level is kept, and none past the best list so far. Null if there is none."""
+    let = "transform(array({value}), {name} -> {body})[0]".format
+    kind = lambda v, text: f"case when not {text} rlike '^\\\\s*[\\\\[{{]' then null when startswith(schema_of_variant({v}), 'OBJECT') then 'object' when startswith(schema_of_variant({v}), 'ARRAY') then 'array' end"
+    member = f"named_struct('key', a.key, 'text', a.value, 'kind', {kind('b.value', 'a.value')})"
+    item = f"named_struct('key', cast(null as string), 'text', a, 'kind', {kind('b', 'a')})"
+    members = f"zip_with(map_entries(from_json(f.text, 'map<string,string>')), map_entries(from_json(f.text, 'map<string,variant>')), (a, b) -> {member})"
+    items = f"zip_with(from_json(f.text, 'array<string>'), from_json(f.text, 'array<variant>'), (a, b) -> {item})"
+    listed = ", ".join(f"'{n}'" for n in names)
+    child = f"named_struct('parent', f.ord, 'ord', concat(f.ord, array(i)), 'rank', cast(coalesce(array_position(array({listed}), c.key), 0) as int), 'text', c.text, 'kind', c.kind)"
+    below = f"filter(flatten(transform(s.open, f -> transform(case f.kind when 'object' then {members} else {items} end, (c, i) -> {child}))), c -> c.kind is not null)"
+    hit = "(c.kind = 'array' and c.rank > 0 and json_array_length(c.text) > 0)"
+    best = f"array_min(concat(array(s.best), transform(filter(k, c -> {hit}), c -> named_struct('parent', c.parent, 'rank', c.rank, 'text', c.text))))"
+    still = f"transform(filter(k, c -> not {hit} and (b is null or c.ord < b.parent)), c -> named_struct('ord', c.ord, 'text', c.text, 'kind', c.kind))"
+    step = let(name="k", value=below, body=let(name="b", value=best, body=f"named_struct('best', b, 'open', {still})"))
+    top = f"named_struct('ord', cast(array() as array<int>), 'text', {column}, 'kind', {kind(f'try_parse_json({column})', column)})"
+    start = f"named_struct('best', cast(null as struct<parent: array<int>, rank: int, text: string>), 'open', filter(array({top}), c -> c.kind is not null))"
+    return F.expr(f"aggregate(sequence(1, {deepest}), {start}, (s, n) -> case when size(s.open) = 0 then s else {step} end, s -> s.best.text)")
+
+
 def deep_blocks(results: DataFrame, column: str = "pruned") -> DataFrame:
     """results (doc, page_seq, pruned JSON) -> blocks as provider_blocks gives them, of the block list wherever in the page it stands."""
     from ..sources.evidence import provider_blocks
 
-    found = block_lists(nodes(results.select(F.struct("doc", "page_seq").alias("id"), F.col(column).alias("payload"))))
-    return provider_blocks(found.select("id.doc", "id.page_seq", F.concat(F.lit(f'{{"{BLOCK_LISTS[0]}": '), "blocks", F.lit("}")).alias("pruned")))
+    own = results.select("doc", "page_seq", F.col(column).cast("string").alias("payload"))
+    found = own.select("doc", "page_seq", F.explode_outer(F.array(first_block_list("payload"))).alias("blocks")).filter("blocks is not null")  # an array, so that it is computed once
+    return provider_blocks(found.select("doc", "page_seq", F.concat(F.lit(f'{{"{BLOCK_LISTS[0]}": '), "blocks", F.lit("}")).alias("pruned")))

@@ -68,6 +68,22 @@ def test_filters_equal_walks_of_the_payload(found, payloads):
     assert len(secrets) > 20 and len(lists) > 20 and len(paths) > 100
 
 
+def test_first_block_list_within_the_row(spark, payloads, found):
+    """The same lists as by rows of all values, without any: no recursion, no shuffle, so no disk for the payloads' values."""
+    rng = random.Random(12)
+    wide = {1000 + k: [payload(rng, 0) for _ in range(12)] for k in range(150)}
+    texts = {k: json.dumps(v, ensure_ascii=k % 2 == 0) for k, v in (payloads | wide).items()}
+    odd = {-1: None, -2: "", -3: "{bad", -4: '{"blocks": [1], "blocks": [2]}', -5: "[" * 5000, -6: '"text"', -7: ' [ {"blocks": "[1]"}, {"blocks": [ ]}, {"blocks": [null]} ]', -8: '{"blocks": null, "a": {"parsingResList": [[]]}}', -9: '{"a":' * 64 + '{"blocks": [1]}' + "}" * 64, -10: '{"a":' * 63 + '{"blocks": [1]}' + "}" * 63}
+    rows = spark.createDataFrame(list((texts | odd).items()), "id long, payload string")
+    own = rows.select("id", nested.first_block_list("payload").alias("blocks"))
+    got = {r.id: r.blocks for r in own.filter("blocks is not null").collect()}
+    assert got == {r.id: r.blocks for r in nested.block_lists(nested.nodes(rows)).collect()}
+    assert {k: json.dumps(json.loads(got[k])) for k in got if k >= 0} == {k: json.dumps(b) for k, v in (payloads | wide).items() if (b := structure.block_list(v))}
+    assert sorted(k for k in got if k < 0) == [-10, -8, -7]
+    plan = nested.deep_blocks(rows.selectExpr("id as doc", "0 as page_seq", "payload as pruned"))._jdf.queryExecution().executedPlan().toString()
+    assert "UnionLoop" not in plan and "Exchange" not in plan
+
+
 def test_odd_payloads(spark):
     deep = "[" * 5000 + "]" * 5000
     rows = [(1, None), (2, ""), (3, "{bad"), (4, '{"a": 1, "a": 2}'), (5, deep), (6, '"text"'), (7, "[]"), (8, "null"), (None, '{"k": 1}'), (9, "7"), (9, "[8]")]
