@@ -26,7 +26,7 @@ from .common import spool
 
 EDITS = ((24, 1), (48, 2))  # lines of at least so many characters may differ by so many edits
 MIN_CHARS, NEAR_CHARS = 12, 24
-HOT = 50  # lines that share a segment, beyond which they are compared by more than letters
+HOT = 8  # lines that share a segment, beyond which they are compared by more than letters; no pair within the edits is lost
 NEAR_WORDS = 5  # of fewer words a different one is a different line
 BROADCAST_BYTES = 32 << 20  # of a side that is broadcast, by its own measure; beyond it the other side shuffles
 _COUNTED = "etan"

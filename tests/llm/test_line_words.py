@@ -66,3 +66,21 @@ def test_one_word(spark, partitions):
         assert texts[d] == "\n".join(left), d
     assert dropped > 10
     assert sorted(r.text for r in got if r.doc_id is None) == sorted(t for d, t in docs if d is None)
+
+
+def test_lines_of_one_beginning_make_few_pairs(spark, monkeypatch):
+    """40 lines with one beginning and the same letters behind it, shuffled: 780 pairs share a segment and their letters, none is within the edits; two that are stay found."""
+    rng, met, spool = random.Random(3), [], line_dedup.spool
+    letters = "abcdefghijklmnopqrstuvwxyz" * 2 + "etaneta"
+    texts = ["one beginning of thirty letters" + "".join(rng.sample(letters, len(letters))) for _ in range(40)]
+    texts.append(texts[0][:60] + "#" + texts[0][61:])
+
+    def counted(df, label):
+        out = spool(df, label)
+        met.extend([out.count()] if label == "met" else [])
+        return out
+
+    monkeypatch.setattr(line_dedup, "spool", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.n_near for r in line_dedup.dedup_lines(docs).collect() if r.n_near} == {40: 1}
+    assert len(met) == 1 and met[0] <= 20
