@@ -1,7 +1,9 @@
-"""What the operators of this subpackage share: the shared folder, spooled tables and connected components."""
+"""What the operators of this subpackage share: the shared folder, spooled tables, freed memory and connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -45,6 +47,17 @@ def drop_spooled(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def give_back() -> None:
+    """Hand what this process has freed back to the system: Arrow's pool and the C library keep it otherwise, on the driver for as long as the session lasts."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def rows_of(df: DataFrame, id_col: str, text_col: str, keep_null: bool = False) -> DataFrame:
     """Only (doc_id, text), so that no further column can clash; null texts become empty unless keep_null."""
     text = F.col(text_col).cast("string")
