@@ -33,6 +33,7 @@ BLOCK = 7_000_000  # bytes of text in a block; longer texts take several
 BUCKETS = 10_000
 HOT = 4096  # a word that makes up more than one in so many is hot; so there are no more of them
 LEVEL = 6  # of compression
+SHORT = 64  # bytes of features that are hashed together
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _IN_WORD = np.zeros(256, bool)
@@ -68,6 +69,40 @@ def _split(data: bytes):
     return _strings(raw, np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends, ends)
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def _crcs(strings, step: int = 1 << 15) -> np.ndarray:
+    """CRC-32 of each entry of an Arrow binary array: all entries move on by a byte at a time, the longest first, so that those that go on stand together; long ones are hashed alone."""
+    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    raw = np.frombuffer(strings.buffers()[2] or b"", np.uint8)
+    out = np.empty(len(strings), np.int64)
+    for i in range(0, len(strings), step):
+        starts, size = offsets[i : i + step][: len(strings) - i], np.diff(offsets[i : i + step + 1])
+        long = np.flatnonzero(size > SHORT)
+        size = np.where(size > SHORT, 0, size).astype(np.uint8)
+        order = np.argsort(SHORT - size, kind="stable")
+        # how many have more than k bytes
+        left = len(size) - np.cumsum(np.bincount(size, minlength=SHORT + 1))
+        at, crc = starts[order], np.full(len(size), 0xFFFFFFFF, np.uint32)
+        for n in left[left > 0].tolist():
+            at, some = at[:n], crc[:n]
+            some[:] = _CRC[(some ^ raw[at]) & 255] ^ (some >> 8)
+            at += 1
+        own = out[i : i + step]
+        own[order] = ~crc
+        for k in long.tolist():
+            own[k] = zlib.crc32(raw[offsets[i + k] : offsets[i + k + 1]])
+    return out
+
+
 def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct keys, ascending, the number of each key among them)."""
     order = np.argsort(keys)
@@ -83,9 +118,10 @@ class Features:
     """Distinct features of a block, and where they stand.
 
     texts: lower-cased bytes. skip: how many words at the beginning of the first text were counted with the block before.
+    words_only: of one word alone.
     """
 
-    def __init__(self, texts: list[bytes], skip: int):
+    def __init__(self, texts: list[bytes], skip: int, words_only: bool = False):
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -103,6 +139,10 @@ class Features:
         doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right").astype(np.int32)
         self.tail = [self.words[int(i)].as_py() for i in ids[-2:][doc[-2:] == len(texts) - 1]]
         del raw, inside, edges, starts, found
+        if words_only:
+            self.at = [(ids[skip:], doc[skip:])]
+            self.sizes, self.counts = [len(order)], [np.bincount(ids[skip:], minlength=len(order)).astype(np.uint32)]
+            return
         n, v = len(ids), max(1, len(order))
         two = np.flatnonzero(doc[1:] == doc[:-1]).astype(np.int32)
         three = two[:-1][(two[1:] == two[:-1] + 1) & (doc[two[:-1]] == doc[two[1:]])]
@@ -122,15 +162,18 @@ class Features:
 
     def order(self, parts: int, hot: frozenset = frozenset()) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each order: features by part, ascending in each part, and where each part's begin and the last one's end. A part is named by a feature's first word, by its first two if that word is hot."""
-        words = self.words.to_pylist()
-        own = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
-        is_hot = np.fromiter((w in hot for w in words), bool, len(words))
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        own = _crcs(self.words).view(np.uint64)
+        is_hot = pc.is_in(self.words, value_set=pa.array(sorted(hot), pa.large_binary())).to_numpy(zero_copy_only=False)
         one, pair = (((x * _MIX[0]) >> np.uint64(33)) % np.uint64(parts) for x in (own, (own[self.first] * _MIX[0]) ^ (own[self.second] * _MIX[1])))
         two = np.where(is_hot[self.first], pair, one[self.first])
         out = []
+        small = np.uint16 if parts <= 1 << 16 else np.uint32  # 16 bits are sorted by counting
+        one, two = one.astype(small), two.astype(small)
         for part in (one, two, two[self.prefix]):
-            by = np.argsort(part, kind="stable")
-            out.append((by, np.searchsorted(part[by], np.arange(parts + 1))))
+            out.append((np.argsort(part, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))))
         return out
 
     def sent(self, parts: int, hot: frozenset = frozenset()):
@@ -198,7 +241,7 @@ class Block:
     features: Features
 
 
-def blocks(batches, size: int = BLOCK):
+def blocks(batches, size: int = BLOCK, words_only: bool = False):
     """The documents of Arrow batches of (id, text), in order, in blocks of about so many bytes."""
     keys, texts, held, skip, goes_on = [], [], 0, 0, False
     for b in batches:
@@ -209,7 +252,7 @@ def blocks(batches, size: int = BLOCK):
             while held + len(data) - begin >= size:
                 end = _word_end(data, begin + max(0, size - held))
                 texts.append(data[begin:end] if begin else data[:end])
-                yield Block(keys, goes_on, f := Features(texts, skip))
+                yield Block(keys, goes_on, f := Features(texts, skip, words_only))
                 keys, texts, held, skip, goes_on, begin = [], [], 0, 0, False, end
                 if begin < len(data):
                     keys, goes_on, skip = [key.as_py()], True, len(f.tail)
@@ -221,7 +264,7 @@ def blocks(batches, size: int = BLOCK):
                 texts.append(data[begin:])
                 held += len(data) - begin
     if keys:
-        yield Block(keys, goes_on, Features(texts, skip))
+        yield Block(keys, goes_on, Features(texts, skip, words_only))
 
 
 def _word_end(data: bytes, at: int) -> int:
@@ -242,7 +285,7 @@ def _hot_words(rows: DataFrame, block_bytes: int) -> frozenset:
     def count(batches):
         import pyarrow as pa
 
-        for block in blocks(batches, block_bytes):
+        for block in blocks(batches, block_bytes, words_only=True):
             f = block.features
             often = np.flatnonzero(f.counts[0] > f.counts[0].sum() / HOT)
             yield pa.RecordBatch.from_arrays([f.words.take(pa.array(often)).cast(pa.binary()), pa.array(f.counts[0][often], pa.int64())], ["word", "n"])
@@ -275,8 +318,7 @@ def _hashed(rows: DataFrame, parts: int, hot: frozenset, block_bytes: int, retur
         del got
         features = features.dictionary_encode()
         at, distinct = features.indices.to_numpy(), features.dictionary
-        hashes = np.concatenate([np.fromiter(map(zlib.crc32, distinct.slice(i, 50_000).to_pylist()), np.int64) for i in range(0, len(distinct), 50_000)])
-        bucket = hashes % BUCKETS
+        bucket = _crcs(distinct) % BUCKETS
         n = np.zeros(BUCKETS, np.int64)
         np.add.at(n, bucket[at], counts)
         names = ["source", "block", "part", "n", "data"]

@@ -151,6 +151,42 @@ def test_hot_words_are_spread():
     assert set(strings.values()) == {1}
 
 
+def test_features_are_hashed_together(monkeypatch):
+    """All short strings at once, without a call for each; the long ones alone."""
+    import zlib
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    made = [rng.bytes(int(n)) for n in rng.choice([0, 1, 2, 3, 9, 63, 64, 65, 66, 400], 40_000)]
+    wanted = [zlib.crc32(x) for x in made]
+    calls, crc32 = [], zlib.crc32
+    monkeypatch.setattr(resampling.zlib, "crc32", lambda x: calls.append(len(x)) or crc32(x))
+    strings = pa.array(made, pa.large_binary())
+    assert resampling._crcs(strings).tolist() == wanted
+    assert min(calls) > resampling.SHORT and len(calls) == sum(len(x) > resampling.SHORT for x in made)
+    for at, n in ((7, 33_000), (39_999, 1), (40_000, 0)):
+        assert resampling._crcs(strings.slice(at, n)).tolist() == wanted[at : at + n]
+    calls.clear()
+    sum(1 for _ in resampling.Features([b" ".join(b"w%d" % k for k in range(3000))], 0).sent(16))
+    assert not calls
+
+
+def test_hot_words_need_no_longer_features():
+    """Blocks of words alone have the words, counts and tails of whole blocks, also where a text goes on."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 50, int(n))) for n in (0, 1, 2, 30, 900, 3)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["doc_id", "text"])]
+    whole, words = list(resampling.blocks(batches, 200)), list(resampling.blocks(batches, 200, words_only=True))
+    assert len(whole) == len(words) > 5
+    for a, b in zip(whole, words, strict=True):
+        assert (a.keys, a.goes_on, a.features.tail, a.features.words.to_pylist()) == (b.keys, b.goes_on, b.features.tail, b.features.words.to_pylist())
+        assert a.features.counts[0].tolist() == b.features.counts[0].tolist()
+        assert len(b.features.sizes) == 1
+
+
 def test_buckets_packed():
     for n in (0, 1, 2, 3, 1000):
         x = np.random.default_rng(n).integers(0, 10000, n)
