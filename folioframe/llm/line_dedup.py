@@ -10,8 +10,9 @@ The edit join (after Li, Deng, Wang and Feng's Pass-Join, 2011) works on lines t
 length l, for which e edits are allowed, is cut into e + 1 segments; a line within e edits of it, as long or longer,
 holds one of them at a place that the edits can have shifted only so far, so each line is hashed at the few places
 that fit, for each length that a shorter partner can have. The segments are written once: they are counted and joined.
-What meets is filtered by letter counts (an edit changes two of them by one at most; no pair is lost) and verified by edit distance, bit-parallel over the diagonals of the band, of what is left without their common
-beginning and end.
+What meets is filtered by letter counts (an edit changes two of them by one at most; no pair is lost) and by the edit
+distance of the ends, and verified by edit distance, bit-parallel over the diagonals of the band, of what is left without
+their common beginning and end.
 
 Two lines that differ by one word share a half of the shorter one's words. Lines whose halves occur once are left out;
 of the others each word is masked and each is deleted, and equal results are grouped, so that no pairs are made.
@@ -49,6 +50,15 @@ def may_begin_alike(a: Column, b: Column, edits: int, first: int = 12) -> Column
     return F.transform(F.array(some), lambda s: _left(s, edits) != 0)[0]
 
 
+def ends_alike(a: Column, b: Column, allowed: Column, most: int, first: int = 64) -> Column:
+    """False where the first or the last characters of a and b show that they are more than `allowed` edits apart, `most` at most.
+
+    Of lines within e edits the first so many characters are within 2 e: e edits make one's those of the other, but for e more or less.
+    """
+    fits = F.when(F.greatest(F.length(a), F.length(b)) <= first, allowed).otherwise(2 * allowed)  # short lines are compared whole
+    return F.levenshtein(F.left(a, F.lit(first)), F.left(b, F.lit(first)), 2 * most).between(0, fits) & F.levenshtein(F.right(a, F.lit(first)), F.right(b, F.lit(first)), 2 * most).between(0, fits)
+
+
 def _within(s: Column, edits: int) -> Column:
     width, n, m, end = 2 * edits + 1, s["n"], s["m"], _left(s, edits)
     at = n - m + edits
@@ -189,20 +199,24 @@ def _signs(own: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def near_lines(lines: DataFrame, docs: DataFrame, edits=EDITS) -> DataFrame:
-    """lines (doc_id, row, pos, line, size), all different and trimmed -> pairs (row_a, pos_a, row_b, pos_b, distance), a before b in the order of (doc_id, row, pos). docs (doc_id, row, text) has the lines' texts by number; row is unique."""
+    """lines (doc_id, row, pos, line, size), all different and trimmed -> pairs (row_a, pos_a, row_b, pos_b, distance), a before b in the order of (doc_id, row, pos). docs (doc_id, row, text) has the lines' texts by number; row is unique. Lines may come without doc_id where row is in its order."""
+    order = [c for c in ("doc_id", "row", "pos") if c in lines.columns]
     most = max(e for _, e in edits)
     long = lines.filter(F.col("size") >= min(n for n, _ in edits))
     long = long.withColumn("letters", _letters(F.col("line")))
-    own = spool(_pieces(long, edits, False), "segments")
+    # one number for letters and size: a line has many pieces, and each of them shuffles
+    pieces = lambda df, probe: _pieces(df, edits, probe).withColumn("letters", F.col("letters").bitwiseOR(F.shiftleft(F.col("size").cast("long"), 32))).drop("size")
+    own = spool(pieces(long, False), "segments")
     signs = _small(_signs(own, docs))
-    index, probes = own.join(signs, ["row", "pos"], "left"), _pieces(long.join(signs, ["row", "pos"], "left"), edits, True)
+    index, probes = own.join(signs, ["row", "pos"], "left"), pieces(long.join(signs, ["row", "pos"], "left"), True)
     side = lambda df, s: df.select("h", *[F.col(c).alias(f"{c}_{s}") for c in df.columns if c != "h"])
-    at = lambda s: F.struct(F.col(f"doc_id_{s}").alias("doc_id"), F.col(f"row_{s}").alias("row"), F.col(f"pos_{s}").alias("pos"))
+    at = lambda s: F.struct(*[F.col(f"{c}_{s}").alias(c) for c in order])
+    size_x, size_y = (F.shiftright(f"letters_{s}", 32) for s in "xy")
     x, y = at("x"), at("y")
     # of two lines of one length either probes the other: once is enough
-    once = (F.col("size_x") < F.col("size_y")) | (x < y)
+    once = (size_x < size_y) | (x < y)
     apart = _letters_apart(F.col("letters_x"), F.col("letters_y"))
-    allowed = _allowed(F.col("size_x"), edits)
+    allowed = _allowed(size_x, edits)
     alike = [F.coalesce(F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) <= 4 * allowed, F.lit(True)) for c in ("parity", "other")]
     met = side(index, "x").join(side(probes, "y"), "h").filter(once & (apart <= 2 * allowed) & alike[0] & alike[1])
     met = spool(met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct().select(F.col("a.row").alias("row_a"), F.col("a.pos").alias("pos_a"), F.col("b.row").alias("row_b"), F.col("b.pos").alias("pos_b")), "met")
@@ -212,6 +226,7 @@ def near_lines(lines: DataFrame, docs: DataFrame, edits=EDITS) -> DataFrame:
     side = lambda s: texts.select(F.col("row").alias(f"row_{s}"), F.col("pos").alias(f"pos_{s}"), F.col("line").alias(f"line_{s}"))
     both = met.join(side("a"), ["row_a", "pos_a"]).join(side("b"), ["row_b", "pos_b"])
     both = both.withColumn("allowed", _allowed(F.least(F.length("line_a"), F.length("line_b")), edits))
+    both = both.filter(ends_alike(F.col("line_a"), F.col("line_b"), F.col("allowed"), most))
     # few bytes but long work: not to be gathered in a few partitions
     both = both.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     both = _middles(both, "line_a", "line_b").filter(may_begin_alike(F.col("line_a"), F.col("line_b"), most)).filter(may_begin_alike(F.reverse("line_a"), F.reverse("line_b"), most))
@@ -249,12 +264,12 @@ def one_word_lines(lines: DataFrame, docs: DataFrame, near_chars: int = NEAR_CHA
     return keys.join(_small(spool(groups, "one word"), 160), "key").filter(earlier < at).select("row", "pos").distinct()
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """all (a struct of all columns, the text null), doc_id, row (unique and not null), text. Ids that are unique are the row's number; else the rows are numbered and written, so that the numbers stay."""
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """all (a struct of all columns, the text null), doc_id, row (unique and not null), text. Ids that are unique are the row's number; else the rows are numbered and written, so that the numbers stay. And whether the ids are the numbers."""
     slim = F.struct(*[(F.lit(None).cast(f.dataType) if f.name == text_col else F.col(f.name)).alias(f.name) for f in docs.schema.fields])
     rows = docs.select(slim.alias("all"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     repeated = docs.groupBy(F.col(id_col).alias("k")).agg(F.count("*").alias("n")).filter("n > 1 or k is null").limit(1).count()
-    return spool(rows.withColumn("row", F.monotonically_increasing_id()), "rows") if repeated else rows.withColumn("row", F.col("doc_id"))
+    return (spool(rows.withColumn("row", F.monotonically_increasing_id()), "rows"), False) if repeated else (rows.withColumn("row", F.col("doc_id")), True)
 
 
 def dedup_lines(docs: DataFrame, edits=EDITS, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS, words: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -266,7 +281,7 @@ def dedup_lines(docs: DataFrame, edits=EDITS, min_chars: int = MIN_CHARS, near_c
     keeps its lines. Very long texts are split in one task, line by line. Names of docs' columns may be anything.
     """
     edits = tuple(sorted(edits)) if isinstance(edits, tuple) else ((near_chars, edits),)
-    rows = _numbered(docs, id_col, text_col)
+    rows, numbers = _numbered(docs, id_col, text_col)
     found = spool(_lines(rows).filter(F.col("size") >= min_chars).select("doc_id", "row", "pos", F.unhex(F.md5("line")).alias("key")), "lines")
     at = F.struct("doc_id", "row", "pos")
     first = found.groupBy("key").agg(F.min(at).alias("first"), F.count("*").alias("n")).filter("n > 1").select("key", "first")
@@ -279,7 +294,7 @@ def dedup_lines(docs: DataFrame, edits=EDITS, min_chars: int = MIN_CHARS, near_c
     left = spool(left, "unequal")
 
     own = left.select("doc_id", "row", "text")
-    near = near_lines(_lines(own), own, edits).select(F.col("row_b").alias("row"), F.col("pos_b").alias("pos"))
+    near = near_lines(_lines(own).drop(*["doc_id"] * numbers), own, edits).select(F.col("row_b").alias("row"), F.col("pos_b").alias("pos"))
     if words:
         near = near.union(one_word_lines(_lines(own), own, near_chars))
     named = F.col("doc_id").isNotNull()

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioframe.llm import line_dedup
 
@@ -84,3 +85,43 @@ def test_lines_of_one_beginning_make_few_pairs(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.n_near for r in line_dedup.dedup_lines(docs).collect() if r.n_near} == {40: 1}
     assert len(met) == 1 and met[0] <= 20
+
+
+def test_ends_alike_loses_nothing(spark):
+    """What the ends rule out is farther apart than allowed, in short and long lines; most of what is farther apart goes."""
+    rng, pairs = random.Random(4), []
+    for k in range(400):
+        a = "".join(rng.choice("abcdé ") for _ in range(rng.choice([24, 47, 48, 63, 64, 65, 66, 130])))
+        b = list(a)
+        for _ in range(edits := k % 3):
+            at = rng.choice([0, 1, 62, 63, 64, len(b) - 1, rng.randrange(len(b))]) % len(b)
+            b[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "é"])
+        pairs.append((edits, a, "".join(b)))
+        pairs.append((99, a, "".join(rng.sample(a, len(a)))))
+    alike = line_dedup.ends_alike(F.col("a"), F.col("b"), F.greatest(F.lit(1), F.when(F.col("edits") < 9, F.col("edits")).otherwise(2)), 2)
+    got = spark.createDataFrame(pairs, "edits int, a string, b string").select("edits", alike.alias("alike")).collect()
+    assert all(r.alike for r in got if r.edits < 9)
+    assert not any(r.alike for r in got if r.edits == 99)
+
+
+def test_pieces_shuffle_narrow_and_few_pairs_are_verified(spark, monkeypatch):
+    """Where ids are the rows' numbers a piece has its number once; pairs whose ends are unlike aren't verified character by character."""
+    seen, spool, middles = {}, line_dedup.spool, line_dedup._middles
+
+    def spooled(df, label):
+        seen.setdefault(label, df.columns)
+        return spool(df, label)
+
+    def cut(pairs, a, b):
+        seen["verified"] = pairs.count()
+        return middles(pairs, a, b)
+
+    monkeypatch.setattr(line_dedup, "spool", spooled)
+    monkeypatch.setattr(line_dedup, "_middles", cut)
+    rng = random.Random(8)
+    texts = ["one beginning of thirty letters" + "".join(rng.sample("etan" * 3 + "bcdf" * 3, 24)) for _ in range(8)]
+    texts.append(texts[0][:-2] + "#" + texts[0][-1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.n_near for r in line_dedup.dedup_lines(docs).collect() if r.n_near} == {8: 1}
+    assert sorted(seen["segments"]) == ["h", "letters", "pos", "row"]
+    assert seen["verified"] == 1
